@@ -6,68 +6,55 @@ FIXTURES.md add them. All rules are plain expressions over whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.schema import BRONZE_COLUMNS
 
+_EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+_PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"
+
+_PREPARED = (
+    "event_id AS id",
+    "user_id",
+    "value",
+    "ts + make_dt_interval(CAST(31 * (user_id % 2) AS INT)) AS t",
+    "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+    """CASE event_type WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'remove_from_cart'
+       ELSE event_type END AS kind""",
+)
+
+_RULES = {
+    "event_time": """CASE WHEN id % 499 = 0 THEN '' WHEN id % 101 = 0 THEN 'not-a-timestamp'
+                     ELSE date_format(t, "yyyy-MM-dd HH:mm:ss 'UTC'") END""",
+    "event_type": "CASE WHEN id % 67 = 0 THEN concat(' ', kind, ' ') ELSE kind END",
+    "product_id": """CASE WHEN id % 211 = 0 THEN '' WHEN id % 223 = 0 THEN 'abc'
+                     ELSE CAST(k AS STRING) END""",
+    "category_id": "CASE WHEN id % 307 = 0 THEN 'x1' ELSE CAST(p_size AS STRING) END",
+    "category_code": """CASE WHEN k % 3 = 0 THEN ''
+                        ELSE concat(lower(p_type), '.', replace(p_name, ' ', '.')) END""",
+    "brand": """CASE WHEN k % 7 = 0 THEN NULL WHEN id % 71 = 0 THEN concat(' ', p_brand, ' ')
+                ELSE p_brand END""",
+    "price": """CASE WHEN id % 541 = 0 THEN 'NaN' WHEN id % 113 = 0 THEN ''
+                WHEN id % 109 = 0 THEN 'not-a-price' WHEN id % 83 = 0 THEN '-5.00'
+                WHEN id % 41 = 0 THEN '0.00'
+                ELSE CAST(CAST(value AS DECIMAL(12, 2)) AS STRING) END""",
+    "user_id": "CAST(user_id AS STRING)",
+    "user_session": """CASE WHEN id % 97 = 0 THEN ''
+                       ELSE concat(user_id, '-', CAST(t AS DATE)) END""",
+    "_corrupt_record": "CASE WHEN id % 401 = 0 THEN concat('corrupt:', id) END",
+    "source_file": "CASE WHEN id % 2 = 0 THEN 'part-a.csv' ELSE 'part-b.csv' END",
+}
 
-def clicks_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event_id = F.col("event_id")
-
-    def every(n: int) -> Column:
-        return event_id % n == 0
 
-    events = (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
-        .withColumn(
-            "t", F.col("ts") + F.make_dt_interval((31 * (F.col("user_id") % 2)).cast("int"))
-        )
-    )
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        "p_partkey", "p_name", "p_brand", "p_type", "p_size"
-    )
-    joined = events.join(part, F.col("k") == F.col("p_partkey"))
-
-    kind = (
-        F.when(F.col("event_type") == "click", "cart")
-        .when(F.col("event_type") == "signup", "remove_from_cart")
-        .otherwise(F.col("event_type"))
-    )
-    dotted = F.concat(F.lower("p_type"), F.lit("."), F.replace("p_name", F.lit(" "), F.lit(".")))
-    raw = joined.select(
-        F.when(every(499), "")
-        .when(every(101), "not-a-timestamp")
-        .otherwise(F.date_format("t", "yyyy-MM-dd HH:mm:ss 'UTC'"))
-        .alias("event_time"),
-        F.when(every(67), F.concat(F.lit(" "), kind, F.lit(" "))).otherwise(kind).alias("event_type"),
-        F.when(every(211), "")
-        .when(every(223), "abc")
-        .otherwise(F.col("k").cast("string"))
-        .alias("product_id"),
-        F.when(every(307), "x1").otherwise(F.col("p_size").cast("string")).alias("category_id"),
-        F.when(F.col("k") % 3 == 0, "").otherwise(dotted).alias("category_code"),
-        F.when(F.col("k") % 7 == 0, F.lit(None))
-        .when(every(71), F.concat(F.lit(" "), F.col("p_brand"), F.lit(" ")))
-        .otherwise(F.col("p_brand"))
-        .alias("brand"),
-        F.when(every(541), "NaN")
-        .when(every(113), "")
-        .when(every(109), "not-a-price")
-        .when(every(83), "-5.00")
-        .when(every(41), "0.00")
-        .otherwise(F.col("value").cast("decimal(12,2)").cast("string"))
-        .alias("price"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.when(every(97), "")
-        .otherwise(F.concat_ws("-", F.col("user_id").cast("string"), F.to_date("t").cast("string")))
-        .alias("user_session"),
-        F.when(every(401), F.concat(F.lit("corrupt:"), event_id.cast("string"))).alias(
-            "_corrupt_record"
-        ),
-        F.when(every(2), "part-a.csv").otherwise("part-b.csv").alias("source_file"),
-        F.explode(F.when(every(53), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias(
-            "copy"
-        ),
-    )
-    return raw.select(*BRONZE_COLUMNS)
+def clicks_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows. Every 53rd comes twice, as an exact copy."""
+    events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    part = spark.read.schema(_PART).parquet(f"{sf_dir}/part.parquet")
+    joined = events.selectExpr(*_PREPARED).join(part.withColumnRenamed("p_partkey", "k"), "k")
+    return joined.selectExpr(
+        *[f"{rule} AS {name}" for name, rule in _RULES.items()],
+        "explode(CASE WHEN id % 53 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
+    ).select(*BRONZE_COLUMNS)
