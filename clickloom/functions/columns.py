@@ -9,12 +9,12 @@ from clickloom.schema import NO_CATEGORY, TIME_FORMAT, WEEKDAY_NAMES_ES
 
 def is_blank(text: Column) -> Column:
     """NULL, empty or only spaces. Never NULL itself."""
-    return text.isNull() | (F.trim(text) == "")
+    return F.coalesce(F.trim(text) == "", F.lit(True))
 
 
 def is_padded(text: Column) -> Column:
-    """Has a value with spaces around it."""
-    return ~is_blank(text) & (text != F.trim(text))
+    """Has a value with spaces around it. Never NULL itself."""
+    return F.coalesce((text != F.trim(text)) & (F.trim(text) != ""), F.lit(False))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -34,8 +34,8 @@ def to_amount(text: Column) -> Column:
 
 
 def is_finite(number: Column) -> Column:
-    """A real number: not NULL, NaN or infinite. Never NULL itself."""
-    return number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    """A real number: not NULL, infinite or NaN, which Spark sorts above infinity. Never NULL."""
+    return F.coalesce(F.abs(number) < float("inf"), F.lit(False))
 
 
 def price_quality(price: Column) -> Column:

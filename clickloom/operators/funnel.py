@@ -1,13 +1,4 @@
-"""Sequential session funnel: first view, first cart from then on, first purchase from then on.
-
-A session may be a bot with a large share of all events, so no step gathers a whole session:
-
-1. Rows shrink to one per session and moment with a cart or purchase, and one per session
-   and hour for views, of which only the earliest matters. Tasks merge their own rows first.
-2. Each session-hour becomes one row that holds what the hour alone can tell. With times in
-   whole seconds, an hour has at most 3,600 moments.
-3. The hours of a session are put together. There are as many as the calendar has.
-"""
+"""Sequential session funnel: first view, first cart from then on, first purchase from then on."""
 
 from __future__ import annotations
 
@@ -19,53 +10,30 @@ STAGES = ("view_sessions", "cart_after_view_sessions", "purchase_after_cart_sess
 
 
 def funnel_sessions(events: DataFrame) -> DataFrame:
-    """One row per session that has a view, from ``user_session, event_time, event_type``."""
+    """One row per session that has a view, from ``user_session, event_time, event_type``.
+
+    A session may be a bot with a large share of all events, so it is shrunk before it is
+    gathered. Of the views only the earliest matters, and of carts and purchases only the
+    distinct moments; each task merges its own rows, and those of one session spread over
+    all reducers by moment. Event times are whole seconds, so what is left of a session for
+    the windows is at most one row per second of its life, however many events it has.
+    """
     kind, at = F.col("event_type"), F.col("event_time")
-    moments = events.groupBy(
-        "user_session",
-        F.date_trunc("hour", at).alias("hour"),
-        F.when(kind != "view", at).alias("at"),
-    ).agg(
+    moments = events.groupBy("user_session", F.when(kind != "view", at).alias("at")).agg(
         F.min(F.when(kind == "view", at)).alias("view"),
         F.bool_or(kind == "cart").alias("is_cart"),
         F.bool_or(kind == "purchase").alias("is_purchase"),
     )
-
     at = F.col("at")
-    cart, purchase = F.when(F.col("is_cart"), at), F.when(F.col("is_purchase"), at)
-    within_hour = Window.partitionBy("user_session", "hour")
-    hours = (
-        moments.withColumn("view", F.min("view").over(within_hour))
-        .withColumns(
-            {
-                "cart": F.min(cart).over(within_hour),
-                "cart_after_view": F.min(F.when(at >= F.col("view"), cart)).over(within_hour),
-            }
-        )
-        .groupBy("user_session", "hour", "view", "cart", "cart_after_view")
-        .agg(
-            F.min(purchase).alias("purchase"),
-            F.min(F.when(at >= F.col("cart"), purchase)).alias("purchase_after_cart"),
-            F.min(F.when(at >= F.col("cart_after_view"), purchase)).alias("purchase_after_both"),
-        )
-    )
-
-    hour = F.col("hour")
-    whole_session = Window.partitionBy("user_session")
-    cart_time = F.when(F.col("view") == F.col("view_time"), F.col("cart_after_view")).when(
-        hour > F.col("view_time"), F.col("cart")
-    )
-    purchase_time = (
-        F.when(F.col("cart_after_view") == F.col("cart_time"), F.col("purchase_after_both"))
-        .when(F.col("cart") == F.col("cart_time"), F.col("purchase_after_cart"))
-        .when(hour > F.col("cart_time"), F.col("purchase"))
-    )
+    cart = F.when(F.col("is_cart") & (at >= F.col("view_time")), at)
+    purchase = F.when(F.col("is_purchase") & (at >= F.col("cart_time")), at)
+    session = Window.partitionBy("user_session")
     return (
-        hours.withColumn("view_time", F.min("view").over(whole_session))
+        moments.withColumn("view_time", F.min("view").over(session))
         .where(F.col("view_time").isNotNull())
-        .withColumn("cart_time", F.min(cart_time).over(whole_session))
+        .withColumn("cart_time", F.min(cart).over(session))
         .groupBy("user_session", "view_time", "cart_time")
-        .agg(F.min(purchase_time).alias("purchase_time"))
+        .agg(F.min(purchase).alias("purchase_time"))
         .withColumn("event_month", month_of(F.col("view_time")))
     )
 

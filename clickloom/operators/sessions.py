@@ -39,18 +39,20 @@ def session_eligibility(
             F.min(at).alias("session_start"),
             F.min(F.when(F.col("event_type") == "purchase", at)).alias("first_purchase_time"),
         )
-        .withColumn("cutoff_time", start + wait)
-        .withColumn("event_month", month_of(start))
+        .withColumns({"cutoff_time": start + wait, "event_month": month_of(start), "label": _label()})
         .where(
             (start >= period_start + wait)
             & (start <= period_end - wait)
             & (month_of(cutoff) == F.col("event_month"))
             & (bought.isNull() | (bought >= cutoff))
         )
-        .withColumn("label", F.when(bought.isNull(), 0.0).otherwise(1.0))
     )
 
 
+def _label() -> Column:
+    return F.when(F.col("first_purchase_time").isNull(), 0.0).otherwise(1.0)
+
+
 def session_examples(
     events: DataFrame, period_start: Column, period_end: Column, minutes: int = 5
 ) -> DataFrame:
@@ -70,7 +72,13 @@ def session_examples(
         return seconds - F.pmod(seconds, F.lit(width))
 
     first = slice_of(F.col("session_start"))
-    awaited = sessions.withColumn("slice", F.explode(F.array(first, first + width)))
+    awaited = sessions.select(
+        "user_session",
+        "session_start",
+        "cutoff_time",
+        "first_purchase_time",
+        F.explode(F.array(first, first + width)).alias("slice"),
+    )
     activity = events.where(~F.col("event_type").eqNullSafe("purchase")).select(
         "user_session",
         slice_of(F.col("event_time")).alias("slice"),
@@ -84,8 +92,10 @@ def session_examples(
     measured = (
         activity.join(awaited, ["user_session", "slice"])
         .where(F.col("event_time") < F.col("cutoff_time"))
-        .groupBy("user_session", "event_month", "session_start", "first_purchase_time", "label")
+        .groupBy("user_session")
         .agg(
+            F.min("session_start").alias("session_start"),
+            F.min("first_purchase_time").alias("first_purchase_time"),
             F.count_if(view).alias("views"),
             F.count_if(F.col("event_type") == "cart").alias("carts"),
             F.count_if(F.col("event_type") == "remove_from_cart").alias("removals"),
@@ -115,9 +125,9 @@ def with_features(measured: DataFrame) -> DataFrame:
     )
     return measured.select(
         "user_session",
-        "event_month",
+        month_of(F.col("session_start")).alias("event_month"),
         "session_start",
         "first_purchase_time",
-        "label",
+        _label().alias("label"),
         *[value.alias(name) for name, value in zip(FEATURES, features)],
     )

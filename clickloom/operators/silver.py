@@ -9,40 +9,49 @@ from clickloom.operators.parse import parse_events
 from clickloom.schema import CORRUPT, EVENT_TYPES, RAW_COLUMNS
 
 
-def is_rejected() -> Column:
-    """A parsed row that may not enter Silver. Never NULL, so its negation is safe."""
-
-    def unreadable(raw: str, typed: str) -> Column:
-        return ~is_blank(F.col(raw)) & F.col(typed).isNull()
-
+def is_valid() -> Column:
+    """A parsed row that may enter Silver: readable time, known type, product, and the other
+    numbers readable where given. NULL counts as no, as in a filter."""
     return (
-        F.col(CORRUPT).isNotNull()
-        | F.col("ts").isNull()
-        | is_blank(F.col("event_type"))
-        | ~F.col("kind").isin(*EVENT_TYPES)
-        | F.col("product").isNull()
-        | unreadable("category_id", "category")
-        | unreadable("user_id", "user")
-        | (~is_blank(F.col("price")) & ~is_finite(F.col("amount")))
+        F.col(CORRUPT).isNull()
+        & F.col("kind").isin(*EVENT_TYPES)
+        & F.col("product").isNotNull()
+        & (F.col("category").isNotNull() | is_blank(F.col("category_id")))
+        & (F.col("user").isNotNull() | is_blank(F.col("user_id")))
+        & (is_finite(F.col("amount")) | is_blank(F.col("price")))
+        & F.col("ts").isNotNull()
     )
 
 
+def is_rejected() -> Column:
+    """The complement. Never NULL itself."""
+    return ~F.coalesce(is_valid(), F.lit(False))
+
+
 def rejected_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(is_rejected())
 
 
-def deduplicate(bronze: DataFrame) -> DataFrame:
-    """One row per distinct raw text of the nine columns, from the first file by name.
+def deduplicate(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """One row per distinct raw text of the nine columns.
 
     Copies meet by the whole row, and each task first merges its own, so a row with very
-    many copies costs its reducer one entry per task.
+    many copies costs its reducer one entry per task. Where copies come from several files,
+    ``source_file`` is the one with the lowest hash: a hash aggregate can keep the minimum of
+    a number, while the minimum of a text would sort all rows by nine columns. The names come
+    back from ``files``, one row per input file, which the driver holds anyway to plan the
+    scan; a query that does not use the column skips that join.
     """
-    return bronze.groupBy(*RAW_COLUMNS).agg(F.min("source_file").alias("source_file"))
+    file_id = F.xxhash64("source_file")
+    names = files.groupBy(file_id.alias("file_id")).agg(F.min("source_file").alias("source_file"))
+    distinct = rows.groupBy(*RAW_COLUMNS).agg(F.min(file_id).alias("file_id"))
+    return distinct.join(F.broadcast(names), "file_id", "left").drop("file_id")
 
 
 def silver_events(bronze: DataFrame) -> DataFrame:
-    valid = parse_events(bronze).where(~is_rejected())
-    return parse_events(deduplicate(valid)).select(
+    valid = parse_events(bronze).where(is_valid())
+    files = bronze.select("source_file").distinct()
+    return parse_events(deduplicate(valid, files)).select(
         F.col("ts").alias("event_time"),
         F.col("kind").alias("event_type"),
         F.col("product").alias("product_id"),
