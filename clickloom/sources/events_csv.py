@@ -9,17 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clickloom.schema import BRONZE_COLUMNS, CORRUPT, RAW_COLUMNS, RAW_SCHEMA
 
 
-def _base_name(encoded: Column) -> Column:
+def _file_name() -> Column:
     """File names come URL-encoded, but for the plus sign, which decoding would turn to a space."""
+    encoded = F.col("_metadata.file_name")
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def input_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Base name and bytes of each file behind the paths. Contents are not read."""
-    listed = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
-    return listed.select(
-        _base_name(F.regexp_extract("path", "[^/]+$", 0)).alias("source_file"),
-        F.col("length").alias("file_bytes"),
+    return (
+        spark.read.format("binaryFile")
+        .load(list(paths))
+        .select(_file_name().alias("source_file"), F.col("_metadata.file_size").alias("file_bytes"))
     )
 
 
@@ -60,6 +61,6 @@ def read_events(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .option("enforceSchema", False)
         .csv(list(paths))
     )
-    return rows.withColumn("source_file", _base_name(F.col("_metadata.file_name"))).select(
+    return rows.withColumn("source_file", _file_name()).select(
         *BRONZE_COLUMNS
     )

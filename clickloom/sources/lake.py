@@ -25,11 +25,10 @@ def staged(frame: DataFrame, purpose: str) -> Iterator[DataFrame]:
     Its files outlive lost executors, and readers take only the columns they need. At the
     end the table is overwritten with no rows, which frees its space.
     """
-    spark = frame.sparkSession
-    path = shared_folder(spark, purpose)
+    path = shared_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
     try:
-        yield spark.read.schema(frame.schema).parquet(path)
+        yield read_back(frame, path)
     finally:
         frame.limit(0).write.mode("overwrite").parquet(path)
 
@@ -44,14 +43,19 @@ def write_silver(silver: DataFrame, path: str) -> DataFrame:
         .partitionBy("event_month")
         .parquet(path)
     )
-    return read_table(silver.sparkSession, path)
+    return read_back(silver, path)
+
+
+def read_back(table: DataFrame, path: str) -> DataFrame:
+    """What was just written. The schema is known, and a table may have no rows to infer it."""
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def write_table(table: DataFrame, path: str) -> DataFrame:
     """Overwrite a result table: one file while it is small, more where it is not."""
     guard_raw(path)
     table.hint("rebalance").write.mode("overwrite").parquet(path)
-    return read_table(table.sparkSession, path)
+    return read_back(table, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
