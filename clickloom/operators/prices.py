@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions import is_finite
 from clickloom.operators.parse import intact
@@ -79,13 +79,24 @@ def with_fences(quantiles: DataFrame) -> DataFrame:
 
 def flag_outliers(prices: DataFrame, fences: DataFrame) -> DataFrame:
     """Mark prices outside the fences; none is removed. ``fences`` has one row."""
-    low, high = (fences.select(f"iqr_{side}_fence").scalar() for side in ("lower", "upper"))
-    return prices.withColumn("is_outlier", (F.col("amount") < low) | (F.col("amount") > high))
+    return prices.withColumn("is_outlier", _outside(_as_value(fences)))
+
+
+def _as_value(one_row: DataFrame) -> Column:
+    """A one-row table as a struct value. Several uses in a query are worked out once."""
+    return one_row.select(F.struct("*").alias("row")).scalar()
+
+
+def _outside(fences: Column) -> Column:
+    amount = F.col("amount")
+    return (amount < fences["iqr_lower_fence"]) | (amount > fences["iqr_upper_fence"])
 
 
 def price_summary(prices: DataFrame, quantiles: DataFrame) -> DataFrame:
     """Quartiles, fences and outlier count in one row; without prices all but the counts are NULL."""
     fences = with_fences(quantiles)
-    outliers = flag_outliers(prices, fences).agg(F.count_if("is_outlier").alias("n"))
-    return fences.withColumn("iqr_outlier_candidate_count", outliers.scalar())
-
+    row = _as_value(fences)
+    outliers = prices.agg(F.count_if(_outside(row)).alias("iqr_outlier_candidate_count"))
+    return outliers.select(
+        *[row[name].alias(name) for name in fences.columns], "iqr_outlier_candidate_count"
+    )

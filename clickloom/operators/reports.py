@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.functions import is_blank
 from clickloom.operators.quality import event_counts
-from clickloom.schema import CORRUPT, EVENT_TYPES
+from clickloom.schema import CORRUPT, EVENT_TYPES, RAW_COLUMNS
 
 
 def file_inventory(parsed: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
@@ -39,32 +41,33 @@ def five_v_report(
     total_bytes: int | None = None,
 ) -> DataFrame:
     """Volume, velocity, variety, veracity, value: (v, metric, value) rows from one-row tables."""
-    volume = ["record_count"]
+    measured = {"record_count": "Volume", "columns": "Variety", "missing_category_code": "Veracity"}
+    measures = measures.withColumn("columns", F.lit(len(RAW_COLUMNS)))
     if total_bytes is not None:
         measures = measures.withColumn("gib", F.lit(total_bytes / 1024**3))
-        volume.append("gib")
-    parts = [
-        ("Volume", measures, volume),
+        measured["gib"] = "Volume"
+    parts = (
+        (measures, measured),
         (
-            "Velocity",
             frequency,
-            ["observed_utc_hours", "mean_events_per_observed_utc_hour"],
+            {"observed_utc_hours": "Velocity", "mean_events_per_observed_utc_hour": "Velocity"},
         ),
-        ("Variety", measures.withColumn("columns", F.lit(9)), ["columns"]),
-        ("Veracity", measures, ["missing_category_code"]),
-        ("Veracity", duplicates, ["duplicate_excess_rows"]),
-        ("Value", funnel_totals, ["view_to_purchase_rate"]),
-    ]
-    rows = [
-        table.select(*[F.col(name).cast("double").alias(name) for name in metrics])
-        .unpivot([], metrics, "metric", "value")
-        .select(F.lit(v).alias("v"), "metric", "value")
-        for v, table, metrics in parts
-    ]
-    report = rows[0]
-    for more in rows[1:]:
-        report = report.unionByName(more)
-    return report
+        (duplicates, {"duplicate_excess_rows": "Veracity"}),
+        (funnel_totals, {"view_to_purchase_rate": "Value"}),
+    )
+
+    def rows(table: DataFrame, metrics: dict[str, str]) -> DataFrame:
+        lines = [
+            F.struct(
+                F.lit(v).alias("v"),
+                F.lit(name).alias("metric"),
+                F.col(name).cast("double").alias("value"),
+            )
+            for name, v in metrics.items()
+        ]
+        return table.select(F.inline(F.array(*lines)))
+
+    return reduce(DataFrame.unionByName, [rows(*part) for part in parts])
 
 
 def top_categories(top: DataFrame, k: int = 10) -> DataFrame:

@@ -55,7 +55,7 @@ def run_medallion(
 
     with staged(read_events(spark, paths), "bronze") as bronze:
         audit = silver_audit(parse_events(bronze)).first().asDict()
-        silver = write_silver(silver_events(bronze), silver_path)
+        silver = write_silver(silver_events(bronze, len(sizes)), silver_path)
     silver_rows = silver.count()
     gold = write_gold(silver, gold_path)
 

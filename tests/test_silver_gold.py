@@ -97,9 +97,13 @@ def test_copies_differ_by_any_text(bronze):
     assert silver_events(rows).count() == 4
 
 
-def test_copy_in_two_files_keeps_one_of_them_always(bronze):
+@pytest.mark.parametrize("file_count", [None, 2])
+def test_copy_in_two_files_keeps_one_of_them_always(bronze, file_count):
     a, b = {"source_file": "a.csv"}, {"source_file": "b.csv"}
-    kept = {silver_events(bronze(*order)).first()["source_file"] for order in ([a, b], [b, a], [b, a, a])}
+    kept = {
+        silver_events(bronze(*order), file_count).first()["source_file"]
+        for order in ([a, b], [b, a], [b, a, a])
+    }
     assert len(kept) == 1
     assert kept < {"a.csv", "b.csv"}
 
@@ -112,7 +116,15 @@ def test_a_row_with_a_third_of_all_copies(spark, bronze):
 
 
 def test_plan_dedups_with_one_wide_exchange_and_no_sort(bronze):
-    plan = silver_events(bronze({})).drop("source_file")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    assert "Sort" not in plan
-    assert "Join" not in plan
+    def plan(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    for file_count in (None, 2):
+        without = plan(silver_events(bronze({}), file_count).drop("source_file"))
+        assert without.count("Exchange") == 1
+        assert "Sort" not in without
+        assert "Join" not in without
+    wide = plan(silver_events(bronze({}), 2))
+    assert wide.count("Exchange hashpartitioning(event_time") == 1
+    assert "BroadcastHashJoin" in wide
+    assert "Broadcast" not in plan(silver_events(bronze({}), 10**9))

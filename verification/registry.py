@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,13 +28,14 @@ from clickloom.plans import medallion, purchase_model
 from clickloom.schema import CORRUPT, GOLD_TABLES, RAW_COLUMNS
 from clickloom.session import shared_folder, use_utc
 from clickloom.sources.events_csv import read_events
-from clickloom.sources.lake import staged
+from clickloom.sources.lake import staged, write_table
 from verification.clicks import clicks_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The tables span January to March 2024 with long gaps between a user's events.
 CUTOFF_MINUTES = 240
+FILES = 2  # the adapter's part-a.csv and part-b.csv
 TRAIN_MONTH, TEST_MONTH = "2024-01", "2024-02"
 PICKED = serving.Slice(
     months=("2024-01", "2024-02"), start=date(2024, 1, 10), end=date(2024, 2, 20)
@@ -86,7 +88,7 @@ def parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_table(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.silver_events(clicks_raw(spark, sf))
+    return silver.silver_events(clicks_raw(spark, sf), FILES)
 
 
 def hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -486,41 +488,52 @@ def five_v_report(spark, sf):
 
 
 # --- the path through files ------------------------------------------------
-def _write_csv(rows: DataFrame, folder: str) -> str:
-    """Event files of bronze rows; what bronze marks corrupt gets an unclosed quote."""
+@contextmanager
+def csv_files(rows: DataFrame) -> Iterator[str]:
+    """A folder of event files with bronze rows; what bronze marks corrupt gets an unclosed
+    quote. At the end the files are overwritten by an empty one."""
     category = F.col("category_code")
     broken = F.when(F.col(CORRUPT).isNotNull(), F.concat(F.lit('"'), category)).otherwise(category)
-    (
-        rows.withColumn("category_code", broken)
-        .select(*RAW_COLUMNS)
-        .write.option("header", True)
-        .option("quote", "")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(folder)
-    )
-    return folder
+    lines = rows.withColumn("category_code", broken).select(*RAW_COLUMNS)
+    folder = shared_folder(rows.sparkSession, "csv")
+
+    def write(part: DataFrame) -> None:
+        (
+            part.write.mode("overwrite")
+            .option("header", True)
+            .option("quote", "")
+            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(folder)
+        )
+
+    write(lines)
+    try:
+        yield folder
+    finally:
+        write(lines.limit(0))
 
 
 @query
 def csv_corrupt_scan(spark, sf):
-    folder = _write_csv(clicks_raw(spark, sf), shared_folder(spark, "csv"))
-    scanned = parse.parse_events(read_events(spark, [folder]))
-    return scanned.groupBy(F.col("kind").alias("event_type")).agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_records"),
-    )
+    with csv_files(clicks_raw(spark, sf)) as folder:
+        scanned = parse.parse_events(read_events(spark, [folder]))
+        counts = scanned.groupBy(F.col("kind").alias("event_type")).agg(
+            F.count(F.lit(1)).alias("record_count"),
+            F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_records"),
+        )
+        return write_table(counts, shared_folder(spark, "counts"))
 
 
 @query
 def medallion_roundtrip(spark, sf):
     """Files to Silver and Gold and back: rows and a measure of each written table."""
-    folder = _write_csv(clicks_raw(spark, sf), shared_folder(spark, "csv"))
     lake = shared_folder(spark, "lake")
-    medallion.run_medallion(
-        spark, [folder], f"{lake}/silver", f"{lake}/gold", f"{lake}/summary"
-    )
+    with csv_files(clicks_raw(spark, sf)) as folder:
+        medallion.run_medallion(
+            spark, [folder], f"{lake}/silver", f"{lake}/gold", f"{lake}/summary"
+        )
 
     def summed(path: str, measure: str) -> DataFrame:
         return spark.read.parquet(f"{lake}/{path}").agg(
