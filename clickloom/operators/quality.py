@@ -16,51 +16,93 @@ def _unreadable(raw: str, typed: str) -> Column:
     return ~is_blank(F.col(raw)) & F.col(typed).isNull()
 
 
-def quality_measures() -> dict[str, Column]:
-    """Aggregates by name. Counts take all rows; sums, prices and times only intact rows."""
-    amount, ts, kind = F.col("amount"), F.col("ts"), F.col("kind")
-    whole = F.col(CORRUPT).isNull()
+Measures = dict[str, Column]
+
+
+def missing_measures() -> Measures:
+    return {f"missing_{name}": F.count_if(is_blank(F.col(name))) for name in RAW_COLUMNS}
+
+
+def whitespace_measures() -> Measures:
+    return {f"whitespace_{name}": F.count_if(is_padded(F.col(name))) for name in RAW_COLUMNS}
+
+
+def validity_measures() -> Measures:
+    """Defects over all rows; valid prices and purchases over intact rows."""
+    kind, amount = F.col("kind"), F.col("amount")
+    whole, finite = F.col(CORRUPT).isNull(), is_finite(amount)
     purchase = whole & (kind == "purchase")
-    measures = {"record_count": F.count(F.lit(1))}
-    for name in RAW_COLUMNS:
-        measures[f"missing_{name}"] = F.count_if(is_blank(F.col(name)))
-    for name in RAW_COLUMNS:
-        measures[f"whitespace_{name}"] = F.count_if(is_padded(F.col(name)))
-    measures["corrupt_records"] = F.count_if(~whole)
-    measures["invalid_timestamps"] = F.count_if(_unreadable("event_time", "ts"))
-    measures["unexpected_events"] = F.count_if(
-        ~is_blank(F.col("event_type")) & ~kind.isin(*EVENT_TYPES)
-    )
-    for raw, typed in _IDS.items():
-        measures[f"invalid_{raw}"] = F.count_if(_unreadable(raw, typed))
-        measures[f"nonpositive_{raw}"] = F.count_if(F.col(typed) <= 0)
-    measures["invalid_price"] = F.count_if(~is_blank(F.col("price")) & ~is_finite(amount))
-    measures["nonpositive_price"] = F.count_if(is_finite(amount) & (amount <= 0))
-    measures["valid_price_count"] = F.count_if(whole & is_finite(amount))
-    measures["purchase_price_sum"] = F.sum(F.when(purchase & is_finite(amount), amount))
-    measures["purchase_events"] = F.count_if(purchase)
-    measures["rows_with_session"] = F.count_if(~is_blank(F.col("user_session")))
-    measures["period_min"] = F.min(F.when(whole, ts))
-    measures["period_max"] = F.max(F.when(whole, ts))
-    return measures
+    return {
+        "record_count": F.count(F.lit(1)),
+        "corrupt_records": F.count_if(~whole),
+        "invalid_timestamps": F.count_if(_unreadable("event_time", "ts")),
+        "unexpected_events": F.count_if(
+            ~is_blank(F.col("event_type")) & ~kind.isin(*EVENT_TYPES)
+        ),
+        **{f"invalid_{raw}": F.count_if(_unreadable(raw, typed)) for raw, typed in _IDS.items()},
+        "invalid_price": F.count_if(~is_blank(F.col("price")) & ~finite),
+        "valid_price_count": F.count_if(whole & finite),
+        "purchase_events": F.count_if(purchase),
+        "purchase_price_sum": F.sum(F.when(purchase & finite, amount)),
+    }
+
 
+def nonpositive_measures() -> Measures:
+    amount = F.col("amount")
+    return {
+        **{f"nonpositive_{raw}": F.count_if(F.col(typed) <= 0) for raw, typed in _IDS.items()},
+        "nonpositive_price": F.count_if(is_finite(amount) & (amount <= 0)),
+    }
 
-def _aliased(measures: dict[str, Column]) -> list[Column]:
-    return [measure.alias(name) for name, measure in measures.items()]
 
+def session_measures() -> Measures:
+    return {
+        "record_count": F.count(F.lit(1)),
+        "rows_with_session": F.count_if(~is_blank(F.col("user_session"))),
+    }
 
-def quality(parsed: DataFrame, *keys: str) -> DataFrame:
-    """All measures, for the whole input or per key (for example per ``source_file``)."""
-    return parsed.groupBy(*keys).agg(*_aliased(quality_measures()))
+
+def period_measures() -> Measures:
+    """First and last time among intact rows."""
+    time = F.when(F.col(CORRUPT).isNull(), F.col("ts"))
+    return {"period_min": F.min(time), "period_max": F.max(time)}
+
+
+def file_measures() -> Measures:
+    """What the overview of a file shows."""
+    defects = validity_measures()
+    shown = ("record_count", "corrupt_records", "invalid_timestamps")
+    return {**{name: defects[name] for name in shown}, **period_measures(), **missing_measures()}
+
+
+def all_measures() -> Measures:
+    return {
+        **missing_measures(),
+        **whitespace_measures(),
+        **validity_measures(),
+        **nonpositive_measures(),
+        **session_measures(),
+        **period_measures(),
+    }
+
+
+def quality(parsed: DataFrame, *keys: str, measures: Measures | None = None) -> DataFrame:
+    """Measures, all if not chosen, for the whole input or per key (as ``source_file``)."""
+    chosen = all_measures() if measures is None else measures
+    return parsed.groupBy(*keys).agg(*[value.alias(name) for name, value in chosen.items()])
 
 
 def combine_quality(per_file: DataFrame) -> DataFrame:
-    """The measures of the whole input, from those per file."""
-    total = {"period_min": F.min, "period_max": F.max, "purchase_price_sum": F.sum}
+    """The measures of the whole input, from those per ``source_file``. Counts of no files are
+    zero, other measures NULL."""
+    special = {"period_min": F.min, "period_max": F.max, "purchase_price_sum": F.sum}
     return per_file.agg(
         *[
-            (total[name](name) if name in total else F.coalesce(F.sum(name), F.lit(0))).alias(name)
-            for name in quality_measures()
+            special[name](name).alias(name)
+            if name in special
+            else F.coalesce(F.sum(name), F.lit(0)).alias(name)
+            for name in per_file.columns
+            if name != "source_file"
         ]
     )
 
@@ -82,17 +124,9 @@ def event_counts(parsed: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def file_overview(per_file: DataFrame) -> DataFrame:
-    """Rows, period and missing counts per file, from ``quality(parsed, 'source_file')``."""
-    return per_file.select(
-        "source_file",
-        "record_count",
-        "period_min",
-        "period_max",
-        "corrupt_records",
-        "invalid_timestamps",
-        *[f"missing_{name}" for name in RAW_COLUMNS],
-    )
+def file_overview(parsed: DataFrame) -> DataFrame:
+    """Rows, period, defects and missing counts per file."""
+    return quality(parsed, "source_file", measures=file_measures())
 
 
 def silver_audit(parsed: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ def profile_tables(bronze: DataFrame, output: str) -> dict[str, DataFrame]:
 
     per_file = keep("quality_by_file", quality.quality(parsed, "source_file"))
     keep("quality", quality.combine_quality(per_file))
+    keep("file_overview", per_file.select("source_file", *quality.file_measures()))
 
     by_file = keep("event_counts_by_file", quality.event_counts(parsed, "source_file"))
     keep("event_counts", by_file.groupBy("event_type").agg(F.sum("events").alias("events")))
@@ -79,7 +80,6 @@ def overview(tables: dict[str, DataFrame]) -> dict:
     q = _one(tables["quality"])
     price = _one(tables["prices"])
     rows, with_session = q["record_count"], q["rows_with_session"]
-    by_name = {"hour": ["hour"], "weekday": ["weekday_number"]}
     known = tables["event_counts"].where(F.col("event_type").isin(*EVENT_TYPES))
     return {
         "record_count": rows,
@@ -112,12 +112,12 @@ def overview(tables: dict[str, DataFrame]) -> dict:
         },
         "frequency": {
             **_one(tables["frequency"]),
-            "by_hour_of_day_utc": _few(tables["events_per_hour_of_day"], *by_name["hour"]),
+            "by_hour_of_day_utc": _few(tables["events_per_hour_of_day"], "hour"),
         },
         "funnel": {
             **_one(tables["funnel"]),
             "by_utc_hour_of_first_view": _few(tables["funnel_by_hour"], "utc_hour"),
-            "by_spark_weekday_sunday_1": _few(tables["funnel_by_weekday"], *by_name["weekday"]),
+            "by_spark_weekday_sunday_1": _few(tables["funnel_by_weekday"], "weekday_number"),
         },
         "purchases": {
             "purchase_event_count": q["purchase_events"],
@@ -126,10 +126,10 @@ def overview(tables: dict[str, DataFrame]) -> dict:
                 row.asDict() for row in reports.top_categories(tables["top_categories"], 20).collect()
             ],
             "purchase_events_by_utc_hour_of_day": _few(
-                tables["purchases_by_hour"], *by_name["hour"]
+                tables["purchases_by_hour"], "hour"
             ),
             "purchase_events_by_spark_weekday_sunday_1": _few(
-                tables["purchases_by_weekday"], *by_name["weekday"]
+                tables["purchases_by_weekday"], "weekday_number"
             ),
         },
     }

@@ -114,7 +114,7 @@ def examples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def period_edges(spark: SparkSession, sf: str):
-    edges = quality.quality(parsed(spark, sf))
+    edges = measured(spark, sf, quality.period_measures())
     return edges.select("period_min").scalar(), edges.select("period_max").scalar()
 
 
@@ -128,52 +128,38 @@ def parsed_events(spark, sf):
     return parsed(spark, sf)
 
 
+def measured(spark, sf, measures) -> DataFrame:
+    return quality.quality(parsed(spark, sf), measures=measures)
+
+
 @query
 def quality_missing(spark, sf):
-    return quality.quality(parsed(spark, sf)).select(*[f"missing_{c}" for c in RAW_COLUMNS])
+    return measured(spark, sf, quality.missing_measures())
 
 
 @query
 def quality_whitespace(spark, sf):
-    return quality.quality(parsed(spark, sf)).select(*[f"whitespace_{c}" for c in RAW_COLUMNS])
+    return measured(spark, sf, quality.whitespace_measures())
 
 
 @query
 def quality_validity(spark, sf):
-    measures = quality.quality(parsed(spark, sf)).select(
-        "record_count",
-        "corrupt_records",
-        "invalid_timestamps",
-        "unexpected_events",
-        "invalid_product_id",
-        "invalid_category_id",
-        "invalid_user_id",
-        "invalid_price",
-        "valid_price_count",
-        "purchase_events",
-        "purchase_price_sum",
-    )
-    return _rounded(measures, 2, "purchase_price_sum")
+    return _rounded(measured(spark, sf, quality.validity_measures()), 2, "purchase_price_sum")
 
 
 @query
 def quality_nonpositive(spark, sf):
-    return quality.quality(parsed(spark, sf)).select(
-        "nonpositive_product_id",
-        "nonpositive_category_id",
-        "nonpositive_user_id",
-        "nonpositive_price",
-    )
+    return measured(spark, sf, quality.nonpositive_measures())
 
 
 @query
 def session_coverage(spark, sf):
-    return quality.session_coverage(quality.quality(parsed(spark, sf)))
+    return quality.session_coverage(measured(spark, sf, quality.session_measures()))
 
 
 @query
 def period(spark, sf):
-    return quality.quality(parsed(spark, sf)).select("period_min", "period_max")
+    return measured(spark, sf, quality.period_measures())
 
 
 @query
@@ -189,7 +175,7 @@ def event_counts(spark, sf):
 
 @query
 def file_overview(spark, sf):
-    return quality.file_overview(quality.quality(parsed(spark, sf), "source_file"))
+    return quality.file_overview(parsed(spark, sf))
 
 
 @query
@@ -479,7 +465,7 @@ def slice_purchases_by_hour(spark, sf):
 def five_v_report(spark, sf):
     rows = parsed(spark, sf)
     report = reports.five_v_report(
-        quality.quality(rows),
+        measured(spark, sf, {**quality.session_measures(), **quality.missing_measures()}),
         frequency.frequency_stats(frequency.events_per_hour(rows)),
         duplicates.duplicate_summary(clicks_raw(spark, sf)),
         funnel.funnel_totals(profile_funnel_grid(spark, sf)),
