@@ -7,6 +7,36 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.operators.parse import intact
 
 
+def activity_cube(parsed: DataFrame) -> DataFrame:
+    """Intact events by file, type and UTC hour: one pass for all counts of a profile."""
+    return (
+        intact(parsed)
+        .groupBy(
+            "source_file",
+            F.col("kind").alias("event_type"),
+            F.date_trunc("hour", "ts").alias("hour_utc"),
+        )
+        .agg(F.count(F.lit(1)).alias("events"))
+    )
+
+
+def cube_events_per_hour(cube: DataFrame) -> DataFrame:
+    known_time = cube.where(F.col("hour_utc").isNotNull())
+    return known_time.groupBy("hour_utc").agg(F.sum("events").alias("events"))
+
+
+def cube_event_counts(cube: DataFrame, *keys: str) -> DataFrame:
+    known_type = cube.where(F.col("event_type") != "")
+    return known_type.groupBy(*keys, "event_type").agg(F.sum("events").alias("events"))
+
+
+def cube_purchases_by_weekday_hour(cube: DataFrame) -> DataFrame:
+    bought = cube.where((F.col("event_type") == "purchase") & F.col("hour_utc").isNotNull())
+    return bought.groupBy(
+        F.dayofweek("hour_utc").alias("weekday_number"), F.hour("hour_utc").alias("hour")
+    ).agg(F.sum("events").alias("events"))
+
+
 def events_per_hour(parsed: DataFrame) -> DataFrame:
     """Intact events with a valid time by UTC hour."""
     return (

@@ -68,6 +68,13 @@ def period_measures() -> Measures:
     return {"period_min": F.min(time), "period_max": F.max(time)}
 
 
+def type_measures() -> Measures:
+    """Intact rows by known event type, and those of any other type."""
+    whole, kind = F.col(CORRUPT).isNull(), F.col("kind")
+    known = {f"{name}_events": F.count_if(whole & (kind == name)) for name in EVENT_TYPES}
+    return {**known, "other_events": F.count_if(whole & (kind != "") & ~kind.isin(*EVENT_TYPES))}
+
+
 def file_measures() -> Measures:
     """What the overview of a file shows."""
     defects = validity_measures()

@@ -6,23 +6,29 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.functions import is_blank
-from clickloom.operators.quality import event_counts
-from clickloom.schema import CORRUPT, EVENT_TYPES, RAW_COLUMNS
-
-
-def file_inventory(parsed: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
-    """Rows, period and events by type per file; ``sizes`` adds ``file_bytes``."""
-    whole, kind = F.col(CORRUPT).isNull(), F.col("kind")
-    known = {name: F.count_if(whole & (kind == name)) for name in EVENT_TYPES}
-    inventory = parsed.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.min(F.when(whole, F.col("ts"))).alias("from_utc"),
-        F.max(F.when(whole, F.col("ts"))).alias("to_utc"),
-        *[count.alias(f"{name}_events") for name, count in known.items()],
-        F.count_if(whole & ~is_blank(F.col("event_type")) & ~kind.isin(*EVENT_TYPES)).alias(
-            "other_events"
-        ),
+from clickloom.operators.quality import (
+    Measures,
+    event_counts,
+    period_measures,
+    type_measures,
+)
+from clickloom.schema import RAW_COLUMNS
+
+
+def inventory_measures() -> Measures:
+    rows = {"record_count": F.count(F.lit(1))}
+    return {**rows, **period_measures(), **type_measures()}
+
+
+def file_inventory(per_file: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Rows, period and events by type per file, from measures per ``source_file`` that
+    include those above; ``sizes`` adds ``file_bytes``."""
+    inventory = per_file.select(
+        "source_file",
+        "record_count",
+        F.col("period_min").alias("from_utc"),
+        F.col("period_max").alias("to_utc"),
+        *type_measures(),
     )
     return inventory if sizes is None else inventory.join(sizes, "source_file", "left")
 

@@ -16,7 +16,9 @@ from clickloom.sources.events_csv import check_inputs, input_files, read_events
 from clickloom.sources.lake import guard_raw, staged, write_summary, write_table
 
 
-def profile_tables(bronze: DataFrame, output: str) -> dict[str, DataFrame]:
+def profile_tables(
+    bronze: DataFrame, output: str, sizes: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Write the profile of bronze rows below ``output`` and return its tables.
 
     Each pass over the rows ends in a small written table; what can be rolled up from it is,
@@ -29,14 +31,22 @@ def profile_tables(bronze: DataFrame, output: str) -> dict[str, DataFrame]:
         tables[name] = write_table(table, f"{output}/{name}")
         return tables[name]
 
-    per_file = keep("quality_by_file", quality.quality(parsed, "source_file"))
+    per_file = keep(
+        "quality_by_file",
+        quality.quality(
+            parsed,
+            "source_file",
+            measures={**quality.all_measures(), **quality.type_measures()},
+        ),
+    )
     keep("quality", quality.combine_quality(per_file))
     keep("file_overview", per_file.select("source_file", *quality.file_measures()))
+    keep("file_inventory", reports.file_inventory(per_file, sizes))
 
-    by_file = keep("event_counts_by_file", quality.event_counts(parsed, "source_file"))
-    keep("event_counts", by_file.groupBy("event_type").agg(F.sum("events").alias("events")))
-
-    per_hour = keep("events_per_hour", frequency.events_per_hour(parsed))
+    cube = keep("activity", frequency.activity_cube(parsed))
+    keep("event_counts_by_file", frequency.cube_event_counts(cube, "source_file"))
+    keep("event_counts", frequency.cube_event_counts(cube))
+    per_hour = keep("events_per_hour", frequency.cube_events_per_hour(cube))
     keep("events_per_hour_of_day", frequency.events_per_hour_of_day(per_hour))
     keep("events_per_day", frequency.events_per_day(per_hour))
     keep("frequency", frequency.frequency_stats(per_hour))
@@ -54,7 +64,7 @@ def profile_tables(bronze: DataFrame, output: str) -> dict[str, DataFrame]:
     keep("prices", prices.price_summary(amounts, quartiles))
 
     keep("top_categories", purchases.top_purchase_categories(parsed))
-    bought = keep("purchases_by_weekday_hour", purchases.purchases_by_weekday_hour(parsed))
+    bought = keep("purchases_by_weekday_hour", frequency.cube_purchases_by_weekday_hour(cube))
     keep("purchases_by_hour", purchases.purchases_by_hour(bought))
     keep("purchases_by_weekday", purchases.purchases_by_weekday(bought))
     return tables
@@ -142,9 +152,7 @@ def profile(spark: SparkSession, paths: Sequence[str], output: str) -> dict:
     check_inputs(spark, paths)
     sizes = input_files(spark, paths)
     with staged(read_events(spark, paths), "bronze") as bronze:
-        tables = profile_tables(bronze, output)
-        inventory = reports.file_inventory(parse_events(bronze), sizes)
-        write_table(inventory, f"{output}/file_inventory")
+        tables = profile_tables(bronze, output, sizes)
     document = {
         "generated_at_utc": datetime.now(timezone.utc).isoformat(),
         "engine": {"name": "PySpark", "version": spark.version},

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from clickloom.operators import duplicates, frequency, quality, reports
+from clickloom.operators import duplicates, frequency, purchases, quality, reports
 from clickloom.operators.parse import column_catalogue, parse_events
 from clickloom.schema import RAW_COLUMNS
 
@@ -130,7 +130,8 @@ def test_measures_of_files_add_up(bronze):
     )
     combined = quality.combine_quality(quality.quality(rows, "source_file")).first()
     assert combined.asDict() == quality.quality(rows).first().asDict()
-    inventory = {r["source_file"]: r for r in reports.file_inventory(rows).collect()}
+    per_file = quality.quality(rows, "source_file", measures=reports.inventory_measures())
+    inventory = {r["source_file"]: r for r in reports.file_inventory(per_file).collect()}
     assert inventory["2019-Nov.csv"]["record_count"] == 2
     assert inventory["2019-Nov.csv"]["purchase_events"] == 1
     assert inventory["2019-Oct.csv"]["view_events"] == 0
@@ -167,3 +168,30 @@ def test_catalogue_lists_the_nine_columns(spark):
     rows = column_catalogue(spark).collect()
     assert [r["name"] for r in rows] == list(RAW_COLUMNS)
     assert {r["csv_storage_type"] for r in rows} == {"string"}
+
+
+def test_cube_rolls_up_to_the_direct_counts(bronze):
+    rows = parse_events(
+        bronze(
+            {"event_type": "purchase"},
+            {"event_type": "purchase", "event_time": "2019-10-06 23:10:00 UTC"},
+            {"event_type": " ", "event_time": "2019-10-01 10:40:00 UTC"},
+            {"event_type": "search", "event_time": "bad", "source_file": "b.csv"},
+            {"event_type": "purchase", "event_time": ""},
+            {"event_type": "purchase", "_corrupt_record": "line"},
+        )
+    )
+    cube = frequency.activity_cube(rows)
+    for rolled, direct in (
+        (frequency.cube_events_per_hour(cube), frequency.events_per_hour(rows)),
+        (frequency.cube_event_counts(cube), quality.event_counts(rows)),
+        (
+            frequency.cube_event_counts(cube, "source_file"),
+            quality.event_counts(rows, "source_file"),
+        ),
+        (
+            frequency.cube_purchases_by_weekday_hour(cube),
+            purchases.purchases_by_weekday_hour(rows),
+        ),
+    ):
+        assert sorted(rolled.collect()) == sorted(direct.collect())

@@ -141,6 +141,41 @@ def test_hot_session_is_spread_by_time(spark):
     assert "hashpartitioning(user_session" in plan and ", slice" in plan
 
 
+def test_one_hot_slice_is_split_by_adaptive_execution(spark):
+    """A third of all rows in the first minutes of one session: the join splits that partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    n = 600_000
+    rows = spark.range(0, n, 1, 16).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'bot' ELSE CAST(id % 80000 AS STRING) END AS user_session",
+        "timestamp '2019-10-05 10:00:00' + make_dt_interval(0, 0, 0, "
+        "CAST(CASE WHEN id % 3 = 0 THEN id % 200 ELSE id END AS DECIMAL(18, 6))) AS event_time",
+        "'view' AS event_type",
+        "id AS product_id",
+        "'c' AS category_code",
+        "1.0D AS price",
+        "'positive' AS price_quality",
+    )
+    first, last = (F.to_timestamp(F.lit(edge)) for edge in (FIRST, LAST))
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        built = sessions.session_examples(rows, first, last, 5)
+        found = {r["user_session"]: r for r in built.collect()}
+        plan = built._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert found["bot"]["log_views_5m"] == pytest.approx(math.log(1 + n // 3))
+    assert found["bot"]["log_unique_products_5m"] == pytest.approx(math.log(1 + n // 3))
+
+
 def test_sample_takes_whole_sessions(spark):
     rows = spark.range(20_000).selectExpr("concat('s', id % 4000) AS user_session")
     sample = sessions.sample_sessions(rows, 20)

@@ -398,6 +398,9 @@ FROM (SELECT count(*) AS n FROM raw_rows GROUP BY {_RAW}, _corrupt_record) WHERE
   (SELECT count(*) FROM {_PRICES} WHERE amount < q1 - 1.5 * (q3 - q1)
      OR amount > q3 + 1.5 * (q3 - q1)) AS iqr_outlier_candidate_count
 FROM (SELECT {_QUARTILES} FROM {_PRICES}) q""",
+        "activity_cube": """SELECT source_file, kind AS event_type,
+  date_trunc('hour', ts) AS hour_utc, count(*) AS events
+FROM parsed WHERE _corrupt_record IS NULL GROUP BY ALL""",
         "events_per_hour": f"SELECT hour_utc, events FROM {_HOURS}",
         "events_per_hour_of_day": f"""SELECT {_HOUR.format("hour_utc")} AS hour,
   CAST(sum(events) AS BIGINT) AS events FROM {_HOURS} GROUP BY 1""",

@@ -190,7 +190,9 @@ def file_event_matrix(spark, sf):
 
 @query
 def file_inventory(spark, sf):
-    return reports.file_inventory(parsed(spark, sf))
+    return reports.file_inventory(
+        quality.quality(parsed(spark, sf), "source_file", measures=reports.inventory_measures())
+    )
 
 
 # --- silver ----------------------------------------------------------------
@@ -257,6 +259,11 @@ def events_per_day(spark, sf):
     return frequency.events_per_day(hourly(spark, sf))
 
 
+@query
+def activity_cube(spark, sf):
+    return frequency.activity_cube(parsed(spark, sf))
+
+
 @query
 def frequency_stats(spark, sf):
     return frequency.frequency_stats(hourly(spark, sf))
