@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from verification import registry
 
-RUNS = 3
+RUNS = 2
 HEADLINES = (
     "quality_combined_from_files",
     "silver_audit",

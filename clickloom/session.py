@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     The cluster names the folder in ``spark.checkpoint.dir``. Only a local session may
     do without: it gets a temporary folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
