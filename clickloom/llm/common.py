@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Text that one step of a task holds as Python objects at a time.
@@ -23,7 +24,7 @@ def text_of(column: str = "text") -> Column:
 def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about SLICE_BYTES of a text column (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
         start = held = 0
         for at, size in enumerate(sizes):
             if at > start and held + (size or 0) > SLICE_BYTES:
