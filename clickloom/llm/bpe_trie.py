@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from clickloom.llm.byte_bpe import byte_signs
 from clickloom.llm.common import map_rows, slices, text_of
 
 # A worker remembers the encodings of so many pieces of text, and of judged pairs of tokens.
@@ -50,7 +51,7 @@ class WordBpe:
         # Beginnings of tokens, true for tokens that the merges make of their own text.
         self._prefixes: dict[str, bool] = {}
         self._pairs: dict[str, bool] = {}
-        self._bytes = _byte_signs()
+        self._bytes = byte_signs()
         self.pieces: dict[str, bytes] = {}
         for token in self.vocabulary:
             for size in range(1, len(self._symbols(token))):
@@ -218,19 +219,6 @@ _PLAIN_WORDS = re.compile(
 )
 
 
-def _byte_signs() -> list[str]:
-    """The sign of each byte: printable ones of Latin-1 stand for themselves, the others follow
-    from U+0100 on."""
-    signs, spare = [], 256
-    for byte in range(256):
-        if 33 <= byte <= 126 or 161 <= byte <= 172 or 174 <= byte <= 255:
-            signs.append(chr(byte))
-        else:
-            signs.append(chr(spare))
-            spare += 1
-    return signs
-
-
 _LOADED: dict[str, WordBpe] = {}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import bpe_trie
+from clickloom.llm import bpe_trie, packing, repetition
 from clickloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,5 +31,85 @@ def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op7_bpe_trie": op7_bpe_trie}
-ORACLE_SQL: dict[str, str] = {}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens; ids as a checksum."""
+    pieces = packing.pack_documents(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")
+    )
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = repetition.repetition_rules(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_covered_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def _repeated_words_sql(name: str, size: int) -> str:
+    """Words in windows of so many words that a text has twice or more."""
+    return f"""
+        {name}_windows AS (
+            SELECT row_id, p, count(*) OVER (
+                PARTITION BY row_id, array_to_string(words[p:p + {size - 1}], ' ')) AS n
+            FROM (SELECT row_id, words, unnest(range(1, n_words - {size - 2})) AS p FROM split)),
+        {name} AS (
+            SELECT row_id, count(DISTINCT word) AS n
+            FROM (SELECT row_id, unnest(range(p, p + {size})) AS word
+                  FROM {name}_windows WHERE n > 1)
+            GROUP BY row_id)"""
+
+
+OP4_SQL = rf"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+    split AS (
+        SELECT row_id, doc_id, text, words, len(words) AS n_words,
+            list_filter(string_split(text, chr(10)),
+                lambda line: regexp_matches(line, '[^ 	-]')) AS lines
+        FROM (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS words FROM texts)),
+    {_repeated_words_sql("repeated", repetition.WINDOW)},
+    {_repeated_words_sql("covered", repetition.REPEAT_WORDS)},
+    {_repeated_words_sql("long_repeat", repetition.LONGEST_WORDS + 1)},
+    measured AS (
+        SELECT doc_id, n_words,
+            coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+            coalesce(repeated.n, 0) AS n_repeat_words,
+            coalesce(covered.n, 0) AS n_covered_words,
+            n_words < {repetition.FEWEST_WORDS} OR 100 * coalesce(repeated.n, 0)
+                > {repetition.REPEATED_PERCENT} * n_words AS base_failed,
+            long_repeat.n IS NOT NULL AS too_long
+        FROM split LEFT JOIN repeated USING (row_id) LEFT JOIN covered USING (row_id)
+            LEFT JOIN long_repeat USING (row_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered_words,
+        base_failed,
+        NOT base_failed AND NOT too_long
+            AND 100 * n_covered_words <= {repetition.COVERED_PERCENT} * n_words AS kept
+    FROM measured
+"""
+
+
+QUERIES: dict[str, Query] = {
+    "op4_suffix_repetition": op4_suffix_repetition,
+    "op7_bpe_trie": op7_bpe_trie,
+    "op9_packing": op9_packing,
+}
+ORACLE_SQL: dict[str, str] = {"op4_suffix_repetition": OP4_SQL}
