@@ -66,12 +66,15 @@ def _repeated_words_sql(name: str, size: int) -> str:
     """Words in windows of so many words that a text has twice or more."""
     return f"""
         {name}_windows AS (
-            SELECT row_id, p, count(*) OVER (
-                PARTITION BY row_id, array_to_string(words[p:p + {size - 1}], ' ')) AS n
-            FROM (SELECT row_id, words, unnest(range(1, n_words - {size - 2})) AS p FROM split)),
+            SELECT row_id, i, count(*) OVER (PARTITION BY row_id, stretch) AS n
+            FROM (SELECT row_id, i,
+                    string_agg(word, ' ') OVER following AS stretch, count(*) OVER following AS size
+                  FROM word_rows WINDOW following AS (PARTITION BY row_id ORDER BY i
+                      ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING))
+            WHERE size = {size}),
         {name} AS (
             SELECT row_id, count(DISTINCT word) AS n
-            FROM (SELECT row_id, unnest(range(p, p + {size})) AS word
+            FROM (SELECT row_id, unnest(range(i, i + {size})) AS word
                   FROM {name}_windows WHERE n > 1)
             GROUP BY row_id)"""
 
@@ -82,8 +85,12 @@ OP4_SQL = rf"""
     split AS (
         SELECT row_id, doc_id, text, words, len(words) AS n_words,
             list_filter(string_split(text, chr(10)),
-                lambda line: regexp_matches(line, '[^ 	-]')) AS lines
-        FROM (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS words FROM texts)),
+                lambda line: regexp_matches(line, '[^ 	-
+]')) AS lines
+        FROM (SELECT *, regexp_extract_all(text, '[^ 	-
+]+') AS words FROM texts)),
+    word_rows AS (
+        SELECT row_id, unnest(words) AS word, unnest(range(n_words)) AS i FROM split),
     {_repeated_words_sql("repeated", repetition.WINDOW)},
     {_repeated_words_sql("covered", repetition.REPEAT_WORDS)},
     {_repeated_words_sql("long_repeat", repetition.LONGEST_WORDS + 1)},
