@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import attention_mil, bpe_trie, chat_windows, packing, repetition
+from clickloom.llm import (
+    attention_mil,
+    bpe_trie,
+    chat_windows,
+    ngram_join,
+    packing,
+    repetition,
+)
 from clickloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,11 +145,50 @@ def op8_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^ 	-]+') AS words
+        FROM documents),
+    word_rows AS (
+        SELECT doc_id, len(words) AS n_words, unnest(words) AS word,
+            unnest(range(len(words))) AS i FROM texts),
+    shingles AS (
+        SELECT DISTINCT doc_id, shingle
+        FROM (SELECT doc_id, n_words, string_agg(word, ' ') OVER following AS shingle,
+                count(*) OVER following AS size
+              FROM word_rows WINDOW following AS (PARTITION BY doc_id ORDER BY i
+                  ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING))
+        WHERE size = least(n_words, 5)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY 1, 2
+        HAVING 100 * count(*) >= 80 * ((SELECT n FROM sizes WHERE doc_id = a.doc_id)
+            + (SELECT n FROM sizes WHERE doc_id = b.doc_id) - count(*))),
+    reached AS (
+        SELECT DISTINCT a AS doc_id, a AS other FROM links
+        UNION
+        SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a),
+    least_reached AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles,
+        least(doc_id, coalesce(other, doc_id)) AS component_id
+    FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op4_suffix_repetition": op4_suffix_repetition,
     "op6_chat_windows": op6_chat_windows,
     "op7_bpe_trie": op7_bpe_trie,
     "op8_attention_mil": op8_attention_mil,
     "op9_packing": op9_packing,
+    "op10_ngram_join": op10_ngram_join,
 }
-ORACLE_SQL: dict[str, str] = {"op4_suffix_repetition": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_suffix_repetition": OP4_SQL, "op10_ngram_join": OP10_SQL}
