@@ -10,6 +10,8 @@ from clickloom.llm import (
     attention_mil,
     bpe_trie,
     chat_windows,
+    hash_tree,
+    imatch,
     ngram_join,
     packing,
     repetition,
@@ -153,7 +155,8 @@ OP10_SQL = r"""
     WITH RECURSIVE texts AS (
         SELECT doc_id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[^ 	-]+') AS words
+            '[^ 	-
+]+') AS words
         FROM documents),
     word_rows AS (
         SELECT doc_id, len(words) AS n_words, unnest(words) AS word,
@@ -183,12 +186,101 @@ OP10_SQL = r"""
 """
 
 
+def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 7, and where they are with one more."""
+    tree = hash_tree.even_tree(8)
+    return hash_tree.shard_documents(table(spark, sf_dir, "documents"), tree, hash_tree.grown(tree))
+
+
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = imatch.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return prints.withColumns(
+        {name: F.round(name, 9) for name in ("near_edited", "near_next")}
+    )
+
+
+def _op5_sql() -> str:
+    count = len(imatch.LEVELS) * imatch.SUBSETS
+    subsets = ", ".join(
+        f"({n}, {imatch.multiplier(n)}, {imatch.LEVELS[n // imatch.SUBSETS]})" for n in range(count)
+    )
+
+    def likeness(one: str, other: str) -> str:
+        return f"""
+            CASE WHEN {one}.print = {other}.print THEN 1.0
+                WHEN {one}.print LIKE 'text %' OR {other}.print LIKE 'text %' THEN 0.0
+                ELSE (SELECT round(coalesce(least(coalesce(sum(w) FILTER (x.token = y.token), 0.0) / sum(w), 1.0),
+                        0.0), 9)
+                    FROM (SELECT x, y, 1.0 / nullif(greatest(x.size, y.size), 0) AS w
+                        FROM (SELECT unnest({one}.tokens) AS x, unnest({other}.tokens) AS y)))
+            END::DOUBLE"""
+
+    return rf"""
+        WITH numbered AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                row_number() OVER (ORDER BY doc_id, coalesce(text, '')) AS i FROM documents),
+        pairs AS (
+            SELECT a.*, b.t AS next_t, b.i AS next_i
+            FROM numbered a JOIN numbered b
+                ON b.i = CASE WHEN a.i = (SELECT max(i) FROM numbered) THEN 1 ELSE a.i + 1 END),
+        versions AS (
+            SELECT i, false AS edited, t FROM pairs
+            UNION ALL
+            SELECT i, true, substr(t, 1, length(t) - length(t) // 4)
+                || substr(next_t, 1, length(t) // 4) FROM pairs),
+        terms AS (
+            SELECT DISTINCT i, edited, term FROM (
+                SELECT i, edited, unnest(string_split_regex(
+                    translate(t, '{imatch.UPPER}', '{imatch.LOWER}'), '[ 	-
+]+')) AS term
+                FROM versions) WHERE term <> ''),
+        lexicon AS (
+            SELECT term, ('0x' || substr(md5(term), 1, 7))::BIGINT AS code
+            FROM terms WHERE NOT edited GROUP BY term
+            HAVING count(*) >= 2
+                AND count(*) * {imatch.MOST_PARTS} >= (SELECT count(*) FROM documents)
+                AND count(*) * {imatch.LEAST_PARTS} <= (SELECT count(*) FROM documents)),
+        codes AS (SELECT DISTINCT i, edited, code FROM terms JOIN lexicon USING (term)),
+        subsets(number, factor, level) AS (VALUES {subsets}),
+        chosen AS (
+            SELECT i, edited, number, count(*) AS size,
+                string_agg(code::VARCHAR, ' ' ORDER BY code) AS listed
+            FROM codes, subsets WHERE ((code * factor) >> 20) & (level - 1) = 0
+            GROUP BY i, edited, number),
+        tokens AS (
+            SELECT i, edited, number, coalesce(size, 0) AS size,
+                printf('%02x', least(coalesce(size, 0), 255)::INT)
+                    || substr(md5(coalesce(listed, '')), 1, {imatch.TOKEN - 2}) AS token
+            FROM (SELECT DISTINCT i, edited FROM codes) CROSS JOIN subsets
+                LEFT JOIN chosen USING (i, edited, number)),
+        prints AS (
+            SELECT i, edited, coalesce(print, 'text ' || sha256(t)) AS print, tokens
+            FROM versions LEFT JOIN (
+                SELECT i, edited, string_agg(token, '' ORDER BY number) AS print,
+                    list({{'size': least(size, 255), 'token': token}} ORDER BY number) AS tokens
+                FROM tokens GROUP BY i, edited) USING (i, edited))
+        SELECT doc_id, length(pairs.t) AS n_chars, sha256(versions.t) AS edited_sha256,
+            a.print AS fingerprint, b.print AS edited_fingerprint,
+            {likeness("a", "b")} AS near_edited, {likeness("a", "c")} AS near_next
+        FROM pairs JOIN versions ON versions.i = pairs.i AND versions.edited
+            JOIN prints a ON a.i = pairs.i AND NOT a.edited
+            JOIN prints b ON b.i = pairs.i AND b.edited
+            JOIN prints c ON c.i = pairs.next_i AND NOT c.edited
+    """
+
+
 QUERIES: dict[str, Query] = {
+    "op2_hash_tree": op2_hash_tree,
     "op4_suffix_repetition": op4_suffix_repetition,
+    "op5_imatch": op5_imatch,
     "op6_chat_windows": op6_chat_windows,
     "op7_bpe_trie": op7_bpe_trie,
     "op8_attention_mil": op8_attention_mil,
     "op9_packing": op9_packing,
     "op10_ngram_join": op10_ngram_join,
 }
-ORACLE_SQL: dict[str, str] = {"op4_suffix_repetition": OP4_SQL, "op10_ngram_join": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_suffix_repetition": OP4_SQL,
+    "op5_imatch": _op5_sql(),
+    "op10_ngram_join": OP10_SQL,
+}
