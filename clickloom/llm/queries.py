@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.llm import (
     attention_mil,
@@ -12,9 +12,11 @@ from clickloom.llm import (
     chat_windows,
     hash_tree,
     imatch,
+    mincut_html,
     ngram_join,
     packing,
     repetition,
+    temporal_lists,
 )
 from clickloom.llm.common import table
 
@@ -269,8 +271,88 @@ def _op5_sql() -> str:
     """
 
 
+def op1_mincut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut_html.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as captures of a year's days, against a list derived from their domains.
+
+    The tables have neither days nor lists, so both follow from hashes: a page's day from its id,
+    and for each domain that occurs up to four changes."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 37, F.lit(366)).cast("int"))
+    captures = pages.withColumn("fetched_on", day)
+    domains = captures.select(
+        F.explode(temporal_lists.domains_of(temporal_lists.host_of(F.col("url")))).alias("domain")
+    ).distinct()
+
+    def digits(start: int, count: int) -> Column:
+        return F.conv(F.substring("digest", start, count), 16, 10).cast("int")
+
+    changes = (
+        domains.withColumn("change", F.explode(F.sequence(F.lit(0), F.lit(3))))
+        .withColumn("digest", F.md5(F.concat_ws(":", "domain", F.col("change").cast("string"))))
+        .where(digits(1, 1) < 9)
+        .select(
+            "domain",
+            F.element_at(
+                F.array(*map(F.lit, temporal_lists.STRENGTH)), digits(2, 4) % 3 + 1
+            ).alias("action"),
+            F.date_add(F.lit("2024-01-01").cast("date"), digits(6, 4) % 366).alias("listed_on"),
+        )
+    )
+    judged = temporal_lists.judge_captures(captures, changes)
+    # Days as text, so that any client shows them alike.
+    return judged.withColumns(
+        {name: F.col(name).cast("string") for name in ("fetched_on", "valid_from", "valid_to")}
+    )
+
+
+OP3_SQL = r"""
+    WITH captures AS (
+        SELECT row_number() OVER () AS row_id, page_id, url,
+            DATE '2024-01-01' + (((page_id * 37) % 366 + 366) % 366)::INT AS fetched_on,
+            regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://([^/?#\\]*)', 1) AS found
+        FROM pages),
+    hosts AS (
+        SELECT row_id, page_id, url, fetched_on, regexp_replace(regexp_replace(
+            regexp_replace(found, '^.*@', ''), ':[0-9]*$', ''), '\.$', '') AS host
+        FROM captures),
+    above AS (
+        SELECT *, array_to_string(list_slice(labels, start, len(labels)), '.') AS domain
+        FROM (SELECT *, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) AS start
+              FROM (SELECT *, string_split(host, '.') AS labels FROM hosts))),
+    digests AS (
+        SELECT domain, md5(domain || ':' || change) AS digest
+        FROM (SELECT DISTINCT domain FROM above), (VALUES (0), (1), (2), (3)) v(change)),
+    changes AS (
+        SELECT domain, (('0x' || substr(digest, 2, 4))::BIGINT % 3)::INT AS strength,
+            DATE '2024-01-01' + (('0x' || substr(digest, 6, 4))::BIGINT % 366)::INT AS valid_from
+        FROM digests WHERE ('0x' || substr(digest, 1, 1))::BIGINT < 9),
+    by_day AS (
+        SELECT domain, valid_from, max(strength) AS strength FROM changes GROUP BY ALL),
+    intervals AS (
+        SELECT *, lead(valid_from) OVER (PARTITION BY domain ORDER BY valid_from) AS valid_to
+        FROM by_day),
+    decided AS (
+        SELECT a.row_id, arg_max(struct_pack(domain := i.domain, strength := strength,
+            valid_from := valid_from, valid_to := valid_to), length(i.domain)) AS entry
+        FROM above a JOIN intervals i ON a.domain = i.domain AND i.strength > 0 AND a.host <> ''
+            AND fetched_on >= valid_from AND (valid_to IS NULL OR fetched_on < valid_to)
+        GROUP BY a.row_id)
+    SELECT page_id, url, fetched_on::VARCHAR AS fetched_on, host, entry.domain AS domain,
+        CASE entry.strength WHEN 1 THEN 'allow' WHEN 2 THEN 'block' END AS action,
+        entry.valid_from::VARCHAR AS valid_from, entry.valid_to::VARCHAR AS valid_to,
+        coalesce(entry.strength, 1) < 2 AS kept
+    FROM hosts LEFT JOIN decided USING (row_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
+    "op1_mincut_html": op1_mincut_html,
     "op2_hash_tree": op2_hash_tree,
+    "op3_temporal_lists": op3_temporal_lists,
     "op4_suffix_repetition": op4_suffix_repetition,
     "op5_imatch": op5_imatch,
     "op6_chat_windows": op6_chat_windows,
@@ -280,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "op10_ngram_join": op10_ngram_join,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op3_temporal_lists": OP3_SQL,
     "op4_suffix_repetition": OP4_SQL,
     "op5_imatch": _op5_sql(),
     "op10_ngram_join": OP10_SQL,
