@@ -491,3 +491,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
         .select("doc_id", "n_shingles", "component_id")
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents without those that have a near-duplicate with a smaller id: of each
+    component one stays, of repeated rows one, and rows without an id stay.
+
+    Texts are not shuffled, but for those that a fixed-size filter cannot rule out."""
+    facts = kept(
+        near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+            F.max(F.col("component_id") != F.col("doc_id")).alias("dropped"),
+            F.count(F.lit(1)).alias("copies"),
+        ).where("dropped OR copies > 1"),
+        "dropped",
+    )
+
+    def word(place: Column) -> Column:
+        return F.floor(place / 64).cast("long")
+
+    def place(doc_id: Column) -> Column:
+        return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(FILTER_BITS))
+
+    at = place(F.col("doc_id"))
+    one = F.lit(1).cast("long")
+    table = facts.groupBy(word(at).alias("filter_word")).agg(
+        F.bit_or(F.call_function("shiftleft", one, (at % 64).cast("int"))).alias("filter_bits")
+    )
+    # At most FILTER_BITS / 64 rows, whatever the input.
+    marked = docs.withColumn("filter_word", word(at)).join(
+        F.broadcast(table), "filter_word", "left"
+    )
+    bit = F.call_function("shiftright", F.col("filter_bits"), (at % 64).cast("int"))
+    maybe = F.coalesce(bit.bitwiseAND(one) == 1, F.lit(False)) & F.col("doc_id").isNotNull()
+    sure = marked.where(~maybe).select(*docs.columns)
+    others = (
+        marked.where(maybe)
+        .select(*docs.columns)
+        .join(facts.where("dropped").select("doc_id"), "doc_id", "left_anti")
+        .dropDuplicates(["doc_id"])
+    )
+    return sure.unionByName(others)
