@@ -1,0 +1,148 @@
+import hashlib
+import zlib
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm import hash_tree, imatch, temporal_lists
+from tests.llm.conftest import ODD_TEXTS
+
+
+# --- shards ------------------------------------------------------------------
+def test_growth_takes_rows_only_into_the_new_shard(spark):
+    keys = spark.range(20_000).select(F.col("id").cast("string").alias("key"))
+    tree = hash_tree.even_tree(5)
+    for _ in range(3):
+        larger = hash_tree.grown(tree)
+        moved = keys.select(
+            hash_tree.shard_of(F.col("key"), tree).alias("a"),
+            hash_tree.shard_of(F.col("key"), larger).alias("b"),
+        ).collect()
+        assert all(row["a"] == row["b"] or row["b"] == len(tree) for row in moved)
+        count = Counter(row["b"] for row in moved)
+        assert all(abs(n - 20_000 / len(larger)) < 400 for n in count.values())
+        tree = larger
+
+
+def test_weights_move_rows_between_changed_subtrees_only(spark):
+    keys = spark.range(20_000).select(F.col("id").cast("string").alias("key"))
+    tree = hash_tree.even_tree(8)
+    heavy = [
+        hash_tree.Leaf(x.shard, x.region, x.rack, 3.0 if x.shard == 1 else 1.0) for x in tree
+    ]
+    moved = keys.select(
+        hash_tree.shard_of(F.col("key"), tree).alias("a"),
+        hash_tree.shard_of(F.col("key"), heavy).alias("b"),
+    ).collect()
+    region = {leaf.shard: leaf.region for leaf in tree}
+    rack = {leaf.shard: leaf.rack for leaf in tree}
+    for row in moved:
+        a, b = row["a"], row["b"]
+        # Into the region of the heavier shard, or inside it into its rack, or into the shard.
+        assert a == b or region[b] == 0
+        assert not (region[a] == 0 and a != b) or rack[b] == 0
+    share = sum(row["b"] == 1 for row in moved) / 20_000
+    assert share == pytest.approx(0.3, abs=0.02)
+
+
+def test_slots_have_no_gaps(docs, clashing):
+    texts = [*ODD_TEXTS, *(f"text {n % 7}" for n in range(300))]
+    rows = clashing(docs(*texts, (None, "a"), (None, "a"), (5, "five"), (5, "five"), (10**15, "far")))
+    tree = hash_tree.even_tree(8)
+    found = hash_tree.shard_documents(rows, tree, hash_tree.grown(tree)).collect()
+    assert len(found) == len(texts) + 5
+    for shard in range(8):
+        slots = sorted(row["slot"] for row in found if row["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert {row["law"] for row in found} == {"key"}
+    assert all(row["grown_shard"] in (row["shard"], 8) for row in found)
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
+                   for i, t in enumerate(texts) if i != 5)
+    got = Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found)
+    assert all(got[key] == n for key, n in want.items())
+    assert len({row["shard"] for row in found if row["doc_id"] is None}) == 1
+    assert hash_tree.shard_documents(rows.limit(0), tree, tree).count() == 0
+
+
+# --- fingerprints ------------------------------------------------------------
+def test_edits_follow_the_ring_of_ids(docs, clashing):
+    shared = "common words that many texts hold in some order or other"
+    texts = [*ODD_TEXTS, *(f"{shared} {n} {'tail ' * (n % 5)}" for n in range(30))]
+    texts += [texts[-1]]
+    far = [(n * 5000 - 20_000, text) for n, text in enumerate(texts)]
+    found = imatch.edited_fingerprints(clashing(docs(*far))).collect()
+    by_id = {row["doc_id"]: row for row in found}
+    for at, (doc_id, text) in enumerate(far):
+        text, after = text or "", far[(at + 1) % len(far)][1] or ""
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + after[:quarter]
+        row = by_id[doc_id]
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0.0 <= row["near_edited"] <= 1.0 and 0.0 <= row["near_next"] <= 1.0
+    prints = {}
+    for doc_id, text in far:
+        assert prints.setdefault(text or "", by_id[doc_id]["fingerprint"]) == by_id[doc_id]["fingerprint"]
+    assert by_id[far[-2][0]]["near_next"] == 1.0
+
+
+def test_repeated_null_and_lone_ids(docs):
+    found = imatch.edited_fingerprints(docs((None, "a b c d"), (1, "x y z"), (1, "x y z"))).collect()
+    assert sorted(str(row["doc_id"]) for row in found) == ["1", "1", "None"]
+    assert next(r for r in found if r["doc_id"] is None)["edited_sha256"] == (
+        hashlib.sha256(b"a b c x").hexdigest()
+    )
+    lone = imatch.edited_fingerprints(docs("abcdefgh")).first()
+    assert lone["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
+    assert imatch.edited_fingerprints(docs("a").limit(0)).count() == 0
+
+
+# --- lists -------------------------------------------------------------------
+CHANGES = [
+    ("example.com", "block", date(2024, 1, 10)),
+    ("example.com", "remove", date(2024, 3, 1)),
+    ("example.com", "remove", date(2024, 3, 1)),
+    ("Good.example.com", "allow", date(2024, 1, 20)),
+    ("both.org", "allow", date(2024, 2, 2)),
+    ("both.org", "block", date(2024, 2, 2)),
+    ("odd.org", "burn", date(2024, 2, 2)),
+    (None, "block", date(2024, 2, 2)),
+    ("undated.org", "block", None),
+]
+
+
+@pytest.mark.parametrize(
+    ("url", "day", "domain", "kept"),
+    [
+        ("http://www.example.com/x", date(2024, 1, 9), None, True),
+        ("http://www.example.com/x", date(2024, 1, 10), "example.com", False),
+        ("HTTP://user@Example.com.:80?q", date(2024, 2, 29), "example.com", False),
+        ("http://example.com/", date(2024, 3, 1), None, True),
+        ("https://a.good.example.com", date(2024, 1, 20), "good.example.com", True),
+        ("https://a.good.example.com", date(2024, 1, 19), "example.com", False),
+        ("https://both.org", date(2025, 12, 31), "both.org", False),
+        ("https://notboth.org", date(2025, 12, 31), None, True),
+        ("https://odd.org", date(2024, 5, 5), None, True),
+        ("https://undated.org", date(2024, 5, 5), None, True),
+        ("no url", date(2024, 5, 5), None, True),
+        (None, date(2024, 5, 5), None, True),
+        ("https://both.org", None, None, True),
+    ],
+)
+def test_entries_active_on_the_day(spark, url, day, domain, kept):
+    changes = spark.createDataFrame(CHANGES, "domain string, action string, listed_on date")
+    rows = [(1, url, day, "mine"), (1, url, day, "mine")]
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetched_on date, kept string")
+    found = temporal_lists.judge_captures(captures, changes).collect()
+    assert [(row["domain"], row["kept"], row["page_id"]) for row in found] == [(domain, kept, 1)] * 2
+
+
+def test_no_entries_and_no_captures(spark):
+    changes = spark.createDataFrame(CHANGES, "domain string, action string, listed_on date")
+    captures = spark.createDataFrame(
+        [("http://example.com", date(2024, 2, 1))], "url string, fetched_on date"
+    )
+    assert temporal_lists.judge_captures(captures, changes.limit(0)).first()["kept"]
+    assert temporal_lists.judge_captures(captures.limit(0), changes).count() == 0
