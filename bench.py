@@ -50,6 +50,7 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_FOLDER", "/tmp/clickloom-bench"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

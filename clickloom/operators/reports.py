@@ -12,7 +12,7 @@ from clickloom.operators.quality import (
     period_measures,
     type_measures,
 )
-from clickloom.schema import RAW_COLUMNS
+from clickloom.schema import EVENT_TYPES, RAW_COLUMNS
 
 
 def inventory_measures() -> Measures:
@@ -34,9 +34,16 @@ def file_inventory(per_file: DataFrame, sizes: DataFrame | None = None) -> DataF
 
 
 def file_event_matrix(parsed: DataFrame) -> DataFrame:
-    """One column per observed event type, zero where a file has none of it."""
-    counts = event_counts(parsed, "source_file")
-    return counts.groupBy("source_file").pivot("event_type").agg(F.sum("events")).fillna(0)
+    """Events of each file by known type, and all others together; zero where there are none.
+    What the others are, :func:`event_counts` by file tells."""
+    kind = F.when(F.col("event_type").isin(*EVENT_TYPES), F.col("event_type")).otherwise("other")
+    counts = event_counts(parsed, "source_file").withColumn("event_type", kind)
+    return (
+        counts.groupBy("source_file")
+        .pivot("event_type", [*EVENT_TYPES, "other"])
+        .agg(F.sum("events"))
+        .fillna(0)
+    )
 
 
 def five_v_report(

@@ -53,16 +53,18 @@ def filter_domains(gold: dict[str, DataFrame]) -> DataFrame:
     def values(table: DataFrame, domain: str, column: str) -> DataFrame:
         return table.select(F.lit(domain).alias("domain"), F.col(column).alias("value")).distinct()
 
-    def edge(domain: str, pick) -> DataFrame:
-        return by_time.agg(pick("purchase_date_utc").cast("string").alias("value")).select(
-            F.lit(domain).alias("domain"), "value"
-        )
+    edges = [
+        F.struct(F.lit(domain).alias("domain"), F.col(domain).cast("string").alias("value"))
+        for domain in ("first_date", "last_date")
+    ]
+    dates = by_time.agg(
+        F.min("purchase_date_utc").alias("first_date"), F.max("purchase_date_utc").alias("last_date")
+    ).select(F.inline(F.array(*edges)))
 
     return (
         values(gold["funnel_by_month"], "month", "event_month")
         .unionByName(values(gold["purchases_by_category"], "category", "category_code"))
-        .unionByName(edge("first_date", F.min))
-        .unionByName(edge("last_date", F.max))
+        .unionByName(dates)
         .orderBy("domain", "value")
     )
 

@@ -14,10 +14,11 @@ def sample_sessions(silver: DataFrame, percent: int) -> DataFrame:
     """Whole sessions, chosen by a hash of their id: the same ones on every run."""
     if not 1 <= percent <= 100:
         raise ValueError("percent has to be from 1 to 100")
-    session = F.col("user_session")
-    return silver.where(
-        ~is_blank(session) & (F.pmod(F.xxhash64(session), F.lit(100)) < percent)
-    )
+    return silver.where(~is_blank(F.col("user_session")) & in_sample(percent))
+
+
+def in_sample(percent: int) -> Column:
+    return F.pmod(F.xxhash64("user_session"), F.lit(100)) < percent
 
 
 def session_eligibility(

@@ -32,35 +32,19 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(is_rejected())
 
 
-# Names of this many files fit a broadcast with ease (about 10 MB).
-MANY_FILES = 100_000
-
-
-def deduplicate(rows: DataFrame, bronze: DataFrame, file_count: int | None = None) -> DataFrame:
-    """One row per distinct raw text of the nine columns.
+def deduplicate(rows: DataFrame) -> DataFrame:
+    """One row per distinct raw text of the nine columns, with the first file name by text.
 
     Copies meet by the whole row, and each task first merges its own, so a row with very
-    many copies costs its reducer one entry per task.
-
-    Where copies come from several files, one ``source_file`` has to be chosen. The first by
-    name is the plain way, but the minimum of a text makes Spark sort all rows by nine
-    columns, on both sides of the shuffle. If the number of input files is known and not
-    large, the one with the lowest hash is taken instead: a hash aggregate can keep that
-    number, and the names come back by a broadcast join. A query that does not use the
-    column does neither.
+    many copies costs its reducer one entry per task. A query that does not use the file name
+    aggregates by hash alone.
     """
-    if file_count is None or file_count > MANY_FILES:
-        return rows.groupBy(*RAW_COLUMNS).agg(F.min("source_file").alias("source_file"))
-    file_id = F.xxhash64("source_file")
-    names = bronze.select("source_file").distinct()
-    names = names.groupBy(file_id.alias("file_id")).agg(F.min("source_file").alias("source_file"))
-    distinct = rows.groupBy(*RAW_COLUMNS).agg(F.min(file_id).alias("file_id"))
-    return distinct.join(F.broadcast(names), "file_id", "left").drop("file_id")
+    return rows.groupBy(*RAW_COLUMNS).agg(F.min("source_file").alias("source_file"))
 
 
-def silver_events(bronze: DataFrame, file_count: int | None = None) -> DataFrame:
+def silver_events(bronze: DataFrame) -> DataFrame:
     valid = parse_events(bronze).where(is_valid())
-    return parse_events(deduplicate(valid, bronze, file_count)).select(
+    return parse_events(deduplicate(valid)).select(
         F.col("ts").alias("event_time"),
         F.col("kind").alias("event_type"),
         F.col("product").alias("product_id"),

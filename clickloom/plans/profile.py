@@ -90,13 +90,15 @@ def overview(tables: dict[str, DataFrame]) -> dict:
     q = _one(tables["quality"])
     price = _one(tables["prices"])
     rows, with_session = q["record_count"], q["rows_with_session"]
-    known = tables["event_counts"].where(F.col("event_type").isin(*EVENT_TYPES))
+    is_known = F.col("event_type").isin(*EVENT_TYPES)
+    known = tables["event_counts"].where(is_known)
     return {
         "record_count": rows,
         "columns": [row.asDict() for row in column_catalogue(tables["quality"].sparkSession).collect()],
         "expected_event_types": list(EVENT_TYPES),
         "event_counts": {row["event_type"]: row["events"] for row in known.collect()},
         "unexpected_event_count": q["unexpected_events"],
+        "unexpected_event_types": tables["event_counts"].where(~is_known).count(),
         "period_utc": {"min": _iso(q["period_min"]), "max": _iso(q["period_max"])},
         "invalid_timestamp_count": q["invalid_timestamps"],
         "corrupt_record_count": q["corrupt_records"],
@@ -157,6 +159,8 @@ def profile(spark: SparkSession, paths: Sequence[str], output: str) -> dict:
         "generated_at_utc": datetime.now(timezone.utc).isoformat(),
         "engine": {"name": "PySpark", "version": spark.version},
         "timezone": "UTC",
+        # Lists that grow with the data are tables: input files, hours, days, all event types.
+        "tables": {name: f"{output}/{name}" for name in tables},
         "combined": {
             "file_bytes": sizes.agg(F.sum("file_bytes")).first()[0],
             **overview(tables),

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.operators import scoring
-from clickloom.operators.sessions import sample_sessions, session_examples
+from clickloom.operators.sessions import in_sample, sample_sessions, session_examples
 from clickloom.schema import FEATURES
 from clickloom.session import use_utc
 from clickloom.sources.lake import guard_raw, read_summary, read_table, staged, write_summary
@@ -77,20 +77,23 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 
 def evaluate(scored: DataFrame) -> dict[str, DataFrame | float]:
-    """Counts by score bin, and the areas under the ROC and precision-recall curves."""
+    """Counts by score bin, and the exact areas under the ROC and precision-recall curves."""
     areas = {
-        name: BinaryClassificationEvaluator(metricName=metric).evaluate(scored)
+        name: BinaryClassificationEvaluator(metricName=metric, numBins=0).evaluate(scored)
         for name, metric in (("roc_auc", "areaUnderROC"), ("pr_auc", "areaUnderPR"))
     }
     return {"counts": scoring.score_counts(scored), **areas}
 
 
 def train_and_evaluate_months(
-    examples: DataFrame, train_month: str, test_month: str
+    examples: DataFrame, train_month: str, test_month: str, sample_percent: int = 100
 ) -> tuple[PipelineModel, dict]:
-    """Fit on one month, test on another; the result holds only bounded numbers."""
+    """Fit on a sample of one month's sessions, test on all of another's; the result holds only
+    bounded numbers."""
     spark = examples.sparkSession
     train = examples.where(F.col("event_month") == train_month)
+    if sample_percent < 100:
+        train = train.where(in_sample(sample_percent))
     test = examples.where(F.col("event_month") == test_month)
     weights = checked_weights(train, "train")
     test_counts = checked_weights(test, "test")
@@ -142,36 +145,39 @@ def train_purchase_model(
     train_month: str = "2019-10",
     test_month: str = "2019-11",
 ) -> dict:
-    """Sample sessions of Silver, build examples, train, evaluate, save model and metrics."""
+    """Build examples of all sessions in Silver, train on a sample of them, evaluate on all of the
+    test month, save model and metrics."""
     use_utc(spark)
     guard_raw(model_path, metrics_path)
     period = read_summary(spark, profile_summary_path)["combined"]["period_utc"]
     first, last = (F.to_timestamp(F.lit(period[edge])) for edge in ("min", "max"))
 
-    sample = sample_sessions(read_table(spark, silver_path), sample_percent)
-    with staged(sample.select(*_EVENT_COLUMNS), "sample") as events:
-        built = session_examples(events, first, last, cutoff_minutes)
-        with staged(built, "examples") as examples:
-            model, result = train_and_evaluate_months(examples, train_month, test_month)
-            model.write().overwrite().save(model_path)
-            document = {
-                "generated_at_utc": datetime.now(timezone.utc).isoformat(),
-                "engine": {"name": "Spark MLlib", "spark_version": spark.version},
-                "model": "weighted logistic regression",
-                "model_path": model_path,
-                "target_definition": (
-                    f"purchase at or after session start + {cutoff_minutes} minutes; sessions "
-                    "with an earlier purchase are left out"
-                ),
-                "features_definition": (
-                    f"events other than purchases in the first {cutoff_minutes} minutes"
-                ),
-                "sampling": {
-                    "deterministic_session_hash_percent": sample_percent,
-                    "sampled_event_rows": events.count(),
-                    "eligible_session_examples": examples.count(),
-                },
-                **result,
-            }
+    events = read_table(spark, silver_path).select(*_EVENT_COLUMNS)
+    built = session_examples(events, first, last, cutoff_minutes)
+    with staged(built, "examples") as examples:
+        model, result = train_and_evaluate_months(
+            examples, train_month, test_month, sample_percent
+        )
+        model.write().overwrite().save(model_path)
+        document = {
+            "generated_at_utc": datetime.now(timezone.utc).isoformat(),
+            "engine": {"name": "Spark MLlib", "spark_version": spark.version},
+            "model": "weighted logistic regression",
+            "model_path": model_path,
+            "target_definition": (
+                f"purchase at or after session start + {cutoff_minutes} minutes; sessions "
+                "with an earlier purchase are left out"
+            ),
+            "features_definition": (
+                f"events other than purchases in the first {cutoff_minutes} minutes"
+            ),
+            "sampling": {
+                "deterministic_session_hash_percent": sample_percent,
+                "sampled_event_rows": sample_sessions(events, sample_percent).count(),
+                "eligible_session_examples": examples.where(in_sample(sample_percent)).count(),
+                "evaluated_on": "all eligible sessions of the test month",
+            },
+            **result,
+        }
     write_summary(spark, document, metrics_path)
     return document

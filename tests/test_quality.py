@@ -4,64 +4,67 @@ import pytest
 
 from clickloom.operators import duplicates, frequency, purchases, quality, reports
 from clickloom.operators.parse import column_catalogue, parse_events
-from clickloom.schema import RAW_COLUMNS
+from clickloom.schema import EVENT_TYPES, RAW_COLUMNS
 
 
 def measured(bronze):
     return quality.quality(parse_events(bronze)).first()
 
 
-def test_counts_period_and_types(bronze):
+def test_counts_and_period_of_known_and_unknown_types(bronze):
     rows = parse_events(
         bronze(
-            {},
-            {"event_time": "2019-10-01 10:01:00 UTC", "event_type": "cart"},
-            {"event_time": "2019-10-01 10:02:00 UTC", "event_type": "purchase"},
+            {"event_type": "remove_from_cart", "event_time": "2021-12-31 23:59:59 UTC"},
+            {"event_type": " purchase"},
+            {"event_type": "wishlist", "event_time": "2020-02-29 00:00:00 UTC"},
+            {"event_type": "wishlist", "event_time": "2021-02-29 00:00:00 UTC"},
+            {"event_type": "Purchase", "event_time": "  "},
+            {"event_type": None},
         )
     )
     found = quality.quality(rows).first()
-    assert found["record_count"] == 3
-    assert found["period_min"] == datetime(2019, 10, 1, 10, 0)
-    assert found["period_max"] == datetime(2019, 10, 1, 10, 2)
+    assert (found["record_count"], found["invalid_timestamps"]) == (6, 1)
+    assert found["unexpected_events"] == 3
+    assert found["period_min"] == datetime(2020, 2, 29)
+    assert found["period_max"] == datetime(2021, 12, 31, 23, 59, 59)
     counts = {r["event_type"]: r["events"] for r in quality.event_counts(rows).collect()}
-    assert counts == {"view": 1, "cart": 1, "purchase": 1}
+    assert counts == {"remove_from_cart": 1, "purchase": 1, "wishlist": 2, "Purchase": 1}
 
 
-def test_blank_values_are_missing(bronze):
-    found = measured(bronze({"category_code": "", "brand": "   ", "user_session": None}))
-    assert found["missing_category_code"] == 1
-    assert found["missing_brand"] == 1
-    assert found["missing_user_session"] == 1
-    assert found["missing_price"] == 0
-    assert found["rows_with_session"] == 0
+def test_every_column_knows_missing_and_padded(bronze):
+    """Each column once null, once blank and once padded; the others of a row are plain."""
+    rows = [{name: value} for name in RAW_COLUMNS for value in (None, "  ", " 7 ")]
+    found = measured(bronze(*rows))
+    for name in RAW_COLUMNS:
+        assert found[f"missing_{name}"] == 2, name
+        assert found[f"whitespace_{name}"] >= 1, name
+    assert found["rows_with_session"] == len(rows) - 2
+    assert found["nonpositive_product_id"] == 0
 
 
-def test_padding_and_nonpositive_ids(bronze):
-    found = measured(bronze({"product_id": " -1 ", "brand": " brand_a "}))
-    assert found["whitespace_product_id"] == 1
-    assert found["whitespace_brand"] == 1
-    assert found["whitespace_price"] == 0
-    assert found["nonpositive_product_id"] == 1
+def test_ids_and_prices_at_zero_and_below(bronze):
+    rows = bronze(
+        {"product_id": "0", "category_id": "-12", "user_id": "+0", "price": "-0.01"},
+        {"product_id": "-9223372036854775808", "price": "0"},
+        {"product_id": "9223372036854775808", "user_id": "12e3", "price": "0x1"},
+        {"category_id": "3.0", "price": "1e-9"},
+    )
+    found = measured(rows)
+    nonpositive = [found[f"nonpositive_{n}"] for n in ("product_id", "category_id", "user_id", "price")]
+    assert nonpositive == [2, 1, 1, 2]
+    invalid = [found[f"invalid_{n}"] for n in ("product_id", "category_id", "user_id", "price")]
+    assert invalid == [1, 1, 1, 1]
 
 
-def test_duplicates_and_prices(bronze):
-    copy = {"price": "-5.00"}
-    rows = bronze(copy, copy, {"event_time": "2019-10-01 10:01:00 UTC", "price": "not-a-price"})
-    found = measured(rows)
-    assert found["invalid_price"] == 1
-    assert found["nonpositive_price"] == 2
+def test_groups_of_copies(bronze):
+    seed = {"product_id": "603", "price": "0.35"}
+    rows = bronze(seed, {}, seed, {}, seed, {"price": "0.350"}, {"_corrupt_record": "x"})
     assert duplicates.duplicate_summary(rows).first().asDict() == {
-        "duplicate_groups": 1,
-        "duplicate_excess_rows": 1,
+        "duplicate_groups": 2,
+        "duplicate_excess_rows": 3,
     }
 
 
-def test_bad_time_and_unknown_type(bronze):
-    found = measured(bronze({"event_time": "not-a-timestamp", "event_type": "search"}))
-    assert found["invalid_timestamps"] == 1
-    assert found["unexpected_events"] == 1
-
-
 def test_missing_time_and_type_are_not_invalid_in_the_profile_but_bad_in_the_audit(bronze):
     rows = bronze({"event_time": "", "event_type": " "})
     found = measured(rows)
@@ -76,17 +79,17 @@ def test_missing_time_and_type_are_not_invalid_in_the_profile_but_bad_in_the_aud
 @pytest.mark.parametrize(
     "text, readable",
     [
-        ("2019-10-01 10:00:00 UTC", True),
-        (" 2019-10-01 10:00:00 UTC ", True),
-        ("2019-10-1 10:00:00 UTC", False),
-        ("2019-10-01 10:00:00", False),
-        ("2019-13-01 10:00:00 UTC", False),
+        ("2021-06-05 04:03:02 UTC", True),
+        (" 2021-06-05 04:03:02 UTC ", True),
+        ("2021-6-05 04:03:02 UTC", False),
+        ("2021-06-05 04:03:02", False),
+        ("2021-13-05 04:03:02 UTC", False),
         ("", False),
     ],
 )
 def test_times(bronze, text, readable):
     ts = parse_events(bronze({"event_time": text})).first()["ts"]
-    assert ts == (datetime(2019, 10, 1, 10, 0) if readable else None)
+    assert ts == (datetime(2021, 6, 5, 4, 3, 2) if readable else None)
 
 
 @pytest.mark.parametrize(
@@ -109,32 +112,32 @@ def test_prices_that_are_no_numbers(bronze, text):
 def test_corrupt_rows_count_but_do_not_enter_sums(bronze):
     rows = bronze(
         {"event_type": "purchase", "_corrupt_record": "line", "brand": ""},
-        {"event_type": "purchase", "event_time": "2019-10-02 00:00:00 UTC"},
+        {"event_type": "purchase", "event_time": "2021-04-02 00:00:00 UTC", "price": "7.75"},
     )
     found = measured(rows)
     assert found["record_count"] == 2
     assert found["corrupt_records"] == 1
     assert found["missing_brand"] == 1
     assert found["purchase_events"] == 1
-    assert found["purchase_price_sum"] == 10.0
-    assert found["period_min"] == datetime(2019, 10, 2)
+    assert found["purchase_price_sum"] == 7.75
+    assert found["period_min"] == datetime(2021, 4, 2)
 
 
 def test_measures_of_files_add_up(bronze):
     rows = parse_events(
         bronze(
             {"brand": "", "event_type": "purchase", "price": "1.25"},
-            {"source_file": "2019-Nov.csv", "price": "x", "event_time": "2019-11-01 00:00:00 UTC"},
-            {"source_file": "2019-Nov.csv", "event_type": "purchase", "price": " 2.50"},
+            {"source_file": "autumn.csv", "price": "x", "event_time": "2021-11-01 00:00:00 UTC"},
+            {"source_file": "autumn.csv", "event_type": "purchase", "price": " 2.50"},
         )
     )
     combined = quality.combine_quality(quality.quality(rows, "source_file")).first()
     assert combined.asDict() == quality.quality(rows).first().asDict()
     per_file = quality.quality(rows, "source_file", measures=reports.inventory_measures())
     inventory = {r["source_file"]: r for r in reports.file_inventory(per_file).collect()}
-    assert inventory["2019-Nov.csv"]["record_count"] == 2
-    assert inventory["2019-Nov.csv"]["purchase_events"] == 1
-    assert inventory["2019-Oct.csv"]["view_events"] == 0
+    assert inventory["autumn.csv"]["record_count"] == 2
+    assert inventory["autumn.csv"]["purchase_events"] == 1
+    assert inventory["spring.csv"]["view_events"] == 0
 
 
 def test_no_rows(bronze, spark):
@@ -155,13 +158,13 @@ def test_fingerprint_tells_null_from_empty(bronze):
     assert duplicates.duplicate_summary(rows).first()["duplicate_excess_rows"] == 1
 
 
-def test_matrix_fills_with_zero(bronze):
-    rows = parse_events(
-        bronze({}, {"source_file": "2019-Nov.csv", "event_type": "search"}, {"event_type": " view "})
-    )
+def test_matrix_has_known_types_and_one_column_for_all_others(bronze):
+    odd = [{"source_file": "autumn.csv", "event_type": f"type {n}"} for n in range(3)]
+    rows = parse_events(bronze({}, {"event_type": " view "}, *odd))
+    none = dict.fromkeys((*EVENT_TYPES, "other"), 0)
     found = {r["source_file"]: r.asDict() for r in reports.file_event_matrix(rows).collect()}
-    assert found["2019-Oct.csv"] == {"source_file": "2019-Oct.csv", "search": 0, "view": 2}
-    assert found["2019-Nov.csv"] == {"source_file": "2019-Nov.csv", "search": 1, "view": 0}
+    assert found["spring.csv"] == {"source_file": "spring.csv", **none, "view": 2}
+    assert found["autumn.csv"] == {"source_file": "autumn.csv", **none, "other": 3}
 
 
 def test_catalogue_lists_the_nine_columns(spark):
@@ -174,9 +177,9 @@ def test_cube_rolls_up_to_the_direct_counts(bronze):
     rows = parse_events(
         bronze(
             {"event_type": "purchase"},
-            {"event_type": "purchase", "event_time": "2019-10-06 23:10:00 UTC"},
-            {"event_type": " ", "event_time": "2019-10-01 10:40:00 UTC"},
-            {"event_type": "search", "event_time": "bad", "source_file": "b.csv"},
+            {"event_type": "purchase", "event_time": "2021-03-21 23:10:00 UTC"},
+            {"event_type": " ", "event_time": "2021-03-14 08:40:00 UTC"},
+            {"event_type": "wishlist", "event_time": "bad", "source_file": "b.csv"},
             {"event_type": "purchase", "event_time": ""},
             {"event_type": "purchase", "_corrupt_record": "line"},
         )
@@ -195,3 +198,11 @@ def test_cube_rolls_up_to_the_direct_counts(bronze):
         ),
     ):
         assert sorted(rolled.collect()) == sorted(direct.collect())
+
+
+def test_ten_thousand_unknown_types_fit_the_matrix(spark, bronze):
+    many = bronze({}).drop("event_type").crossJoin(
+        spark.range(10_050).selectExpr("concat('type ', id) AS event_type")
+    )
+    found = reports.file_event_matrix(parse_events(many)).collect()
+    assert [(r["view"], r["other"]) for r in found] == [(0, 10_050)]

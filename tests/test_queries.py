@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from verification import oracle, registry
 from verification.clicks import clicks_raw
 from verification.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.oracle_sql()
 WITHOUT_SQL = {
     "price_quantiles_approx",
     "session_sample",

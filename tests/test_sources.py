@@ -7,8 +7,8 @@ from clickloom.session import shared_folder
 from clickloom.sources import lake
 from clickloom.sources.events_csv import check_inputs, input_files, read_events
 
-GOOD = "2019-10-01 10:00:00 UTC,view,1,10,category.one,brand_a,10.00,101,session-ok"
-UNCLOSED = '2019-10-01 10:01:00 UTC,view,2,10,"unterminated,brand_a,10.00,101,session-bad'
+GOOD = "2022-07-09 18:05:00 UTC,cart,910,64,sport.ball,kicker,14.95,5,visit-7"
+UNCLOSED = '2022-07-09 18:06:00 UTC,cart,911,64,"sport.bat,kicker,24.95,5,visit-8'
 
 
 def test_malformed_line_is_reported(spark, csv_file):
@@ -22,15 +22,15 @@ def test_malformed_lines_show_in_narrow_queries(spark, csv_file):
     lines = [GOOD, GOOD + ",extra", "2019-10-01 10:01:00 UTC,view"]
     rows = read_events(spark, [csv_file("a.csv", lines)]).select("user_session", CORRUPT)
     assert [r["user_session"] for r in rows.where(f"{CORRUPT} IS NOT NULL").collect()] == [
-        "session-ok",
+        "visit-7",
         None,
     ]
 
 
 def test_quoted_commas_are_no_defect(spark, csv_file):
-    line = GOOD.replace("brand_a", '"brand, a"')
+    line = GOOD.replace("kicker", '"kick, er"')
     found = read_events(spark, [csv_file("a.csv", [line])]).first()
-    assert found["brand"] == "brand, a"
+    assert found["brand"] == "kick, er"
     assert found[CORRUPT] is None
 
 

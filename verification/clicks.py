@@ -45,16 +45,20 @@ _RULES = {
     "user_session": """CASE WHEN id % 97 = 0 THEN ''
                        ELSE concat(user_id, '-', CAST(t AS DATE)) END""",
     "_corrupt_record": "CASE WHEN id % 401 = 0 THEN concat('corrupt:', id) END",
-    "source_file": "CASE WHEN id % 2 = 0 THEN 'part-a.csv' ELSE 'part-b.csv' END",
+    "source_file": "CASE WHEN (id + copy) % 2 = 1 THEN 'part-a.csv' ELSE 'part-b.csv' END",
 }
 
 
 def clicks_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows. Every 53rd comes twice, as an exact copy."""
+    """Bronze rows. Every 53rd comes twice, as an exact copy in the other file."""
     events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
     part = spark.read.schema(_PART).parquet(f"{sf_dir}/part.parquet")
-    joined = events.selectExpr(*_PREPARED).join(part.withColumnRenamed("p_partkey", "k"), "k")
-    return joined.selectExpr(
-        *[f"{rule} AS {name}" for name, rule in _RULES.items()],
-        "explode(CASE WHEN id % 53 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
-    ).select(*BRONZE_COLUMNS)
+    joined = events.selectExpr(*_PREPARED).join(
+        part.withColumnRenamed("p_partkey", "k"), "k", "left"
+    )
+    copies = joined.selectExpr(
+        "*", "explode(CASE WHEN id % 53 = 0 THEN array(1, 2) ELSE array(1) END) AS copy"
+    )
+    return copies.selectExpr(*[f"{rule} AS {name}" for name, rule in _RULES.items()]).select(
+        *BRONZE_COLUMNS
+    )

@@ -83,6 +83,7 @@ def main() -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", "/tmp/clickloom-compare")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -14,9 +14,9 @@ base AS (
          e.ts + to_days(CAST(31 * (e.user_id % 2) AS INTEGER)) AS t,
          CASE e.event_type WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'remove_from_cart'
               ELSE e.event_type END AS et,
-         p.p_partkey AS k, p.p_name, p.p_brand, p.p_type, p.p_size
+         CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k, p.p_name, p.p_brand, p.p_type, p.p_size
   FROM events e
-  JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+  LEFT JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 ),
 clicks AS (
   SELECT
@@ -45,7 +45,9 @@ clicks AS (
 raw_rows AS (
   SELECT * EXCLUDE (id) FROM clicks
   UNION ALL
-  SELECT * EXCLUDE (id) FROM clicks WHERE id % 53 = 0
+  SELECT * EXCLUDE (id) REPLACE (
+    CASE WHEN id % 2 = 0 THEN 'part-b.csv' ELSE 'part-a.csv' END AS source_file)
+  FROM clicks WHERE id % 53 = 0
 )"""
 
 
@@ -318,8 +320,8 @@ def _sql() -> dict[str, str]:
     known_type = f"NOT {_blank('event_type')}"
     counted = f"FROM parsed WHERE _corrupt_record IS NULL AND {known_type}"
     matrix_columns = ", ".join(
-        f"count(*) FILTER (kind = '{name}') AS {name}"
-        for name in ("cart", "error", "purchase", "remove_from_cart", "view")
+        [f"count(*) FILTER (kind = '{name}') AS {name}" for name in EVENT_TYPES]
+        + [f"count(*) FILTER (kind NOT IN ({_TYPES})) AS other"]
     )
     return {
         "parsed_events": "SELECT * FROM parsed",

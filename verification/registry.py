@@ -35,7 +35,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The tables span January to March 2024 with long gaps between a user's events.
 CUTOFF_MINUTES = 240
-FILES = 2  # the adapter's part-a.csv and part-b.csv
 TRAIN_MONTH, TEST_MONTH = "2024-01", "2024-02"
 PICKED = serving.Slice(
     months=("2024-01", "2024-02"), start=date(2024, 1, 10), end=date(2024, 2, 20)
@@ -88,7 +87,7 @@ def parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_table(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.silver_events(clicks_raw(spark, sf), FILES)
+    return silver.silver_events(clicks_raw(spark, sf))
 
 
 def hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,8 +106,19 @@ def gold_lazy(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return gold.gold_metrics(silver_table(spark, sf))
 
 
+def written_silver(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Silver in the shared folder, for queries that read it more than once."""
+    narrow = silver_table(spark, sf).select(*columns)
+    path = shared_folder(spark, "silver")
+    narrow.write.parquet(path)
+    return spark.read.schema(narrow.schema).parquet(path)
+
+
 def examples(spark: SparkSession, sf: str) -> DataFrame:
-    events = silver_table(spark, sf)
+    events = written_silver(
+        spark, sf, "user_session", "event_time", "event_type", "product_id", "category_code",
+        "price", "price_quality",
+    )
     first, last = period_edges(spark, sf)
     return sessions.session_examples(events, first, last, CUTOFF_MINUTES)
 
