@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions import rate
 
@@ -108,3 +108,42 @@ def confusion_grid(matrix: DataFrame) -> DataFrame:
         for cell, (label, predicted) in _CELLS.items()
     ]
     return matrix.select(F.inline(F.array(*cells)))
+
+
+def score_areas(scored: DataFrame, ranges: int = 1000) -> DataFrame:
+    """Exact areas under the ROC and the precision-recall curve, in one row; NULL without examples
+    of both labels.
+
+    Equal scores are counted first. Running counts from the highest score down are kept within
+    ranges of scores, whose totals (at most ``ranges + 1`` rows) say where each begins.
+    """
+    label, score = F.col("label"), F.col("probability")
+    points = (
+        scored.groupBy(F.floor(score * ranges).alias("range"), "probability")
+        .agg(F.count_if(label == 1.0).alias("pos"), F.count_if(label == 0.0).alias("neg"))
+    )
+    down, all_rows = Window.orderBy(F.desc("range")), Window.partitionBy(F.lit(0))
+    above = points.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        "range",
+        (F.sum("p").over(down) - F.col("p")).alias("p_above"),
+        (F.sum("n").over(down) - F.col("n")).alias("n_above"),
+        F.sum("p").over(all_rows).alias("p_all"),
+        F.sum("n").over(all_rows).alias("n_all"),
+    )
+    inside = Window.partitionBy("range").orderBy(F.desc("probability"))
+    running = points.join(above, "range").withColumns(
+        {
+            "tp": F.col("p_above") + F.sum("pos").over(inside),
+            "fp": F.col("n_above") + F.sum("neg").over(inside),
+        }
+    )
+    tp, fp, pos, neg = (F.col(name) for name in ("tp", "fp", "pos", "neg"))
+    before = tp - pos + fp - neg
+    precision = tp / (tp + fp)
+    earlier = F.when(before > 0, (tp - pos) / F.nullif(before, F.lit(0))).otherwise(precision)
+    return running.agg(
+        F.sum(neg * (tp - pos / 2) / F.nullif(F.col("p_all") * F.col("n_all"), F.lit(0))).alias(
+            "roc_auc"
+        ),
+        F.sum(pos / F.nullif(F.col("p_all"), F.lit(0)) * (precision + earlier) / 2).alias("pr_auc"),
+    )

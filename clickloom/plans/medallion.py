@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.operators.gold import funnel_base, gold_tables
 from clickloom.operators.parse import parse_events
@@ -13,7 +13,7 @@ from clickloom.operators.purchases import purchase_cube
 from clickloom.operators.quality import silver_audit
 from clickloom.operators.silver import silver_events
 from clickloom.session import use_utc
-from clickloom.sources.events_csv import check_inputs, input_files, read_events
+from clickloom.sources.events_csv import check_inputs, input_files, staged_events
 from clickloom.sources.lake import (
     guard_raw,
     staged,
@@ -51,9 +51,14 @@ def run_medallion(
     use_utc(spark)
     guard_raw(silver_path, gold_path, summary_path)
     check_inputs(spark, paths)
-    sizes = {row["source_file"]: row["file_bytes"] for row in input_files(spark, paths).collect()}
+    # Names and sizes are a table, since there may be very many files.
+    files_path = f"{summary_path}-files"
+    files = write_table(input_files(spark, paths), files_path)
+    inputs = files.agg(
+        F.count(F.lit(1)).alias("input_files"), F.sum("file_bytes").alias("input_bytes")
+    ).first()
 
-    with staged(read_events(spark, paths), "bronze") as bronze:
+    with staged_events(spark, paths) as bronze:
         audit = silver_audit(parse_events(bronze)).first().asDict()
         silver = write_silver(silver_events(bronze), silver_path)
     silver_rows = silver.count()
@@ -64,14 +69,15 @@ def run_medallion(
         "generated_at_utc": datetime.now(timezone.utc).isoformat(),
         "engine": {"name": "PySpark", "version": spark.version},
         "storage_format": "Parquet",
-        "bronze": {"input_files": sorted(sizes), "raw_modified": False},
+        "bronze": {
+            **inputs.asDict(), "input_files_table": files_path, "raw_modified": False,
+        },
         "silver": {"path": silver_path, "rows": silver_rows, "partition_column": "event_month"},
         "gold": {
             "path": gold_path,
             "outputs": {name: f"{gold_path}/{name}" for name in gold},
             "row_counts": {name: table.count() for name, table in gold.items()},
         },
-        "input_file_bytes": sizes,
         **{name: audit[name] for name in totals},
         "silver_rows": silver_rows,
         "duplicate_excess_rows_removed": audit["valid_rows_before_dedup"] - silver_rows,

@@ -12,8 +12,8 @@ from clickloom.operators.duplicates import duplicate_summary
 from clickloom.operators.parse import column_catalogue, parse_events, profile_session_events
 from clickloom.schema import EVENT_TYPES, RAW_COLUMNS
 from clickloom.session import use_utc
-from clickloom.sources.events_csv import check_inputs, input_files, read_events
-from clickloom.sources.lake import guard_raw, staged, write_summary, write_table
+from clickloom.sources.events_csv import check_inputs, input_files, staged_events
+from clickloom.sources.lake import guard_raw, write_summary, write_table
 
 
 def profile_tables(
@@ -153,7 +153,7 @@ def profile(spark: SparkSession, paths: Sequence[str], output: str) -> dict:
     guard_raw(output)
     check_inputs(spark, paths)
     sizes = input_files(spark, paths)
-    with staged(read_events(spark, paths), "bronze") as bronze:
+    with staged_events(spark, paths) as bronze:
         tables = profile_tables(bronze, output, sizes)
     document = {
         "generated_at_utc": datetime.now(timezone.utc).isoformat(),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.schema import BRONZE_COLUMNS, CORRUPT, RAW_COLUMNS, RAW_SCHEMA
+from clickloom.schema import BRONZE_COLUMNS, CORRUPT, RAW_SCHEMA
+from clickloom.sources.lake import staged
 
 
 def _file_name() -> Column:
@@ -25,10 +27,8 @@ def input_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def check_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Refuse no input, empty files, equal base names, and other headers than the nine names.
-
-    Only the first line of each path is looked at here; the scan checks every file's header.
-    """
+    """Refuse no input, empty files and equal base names. No contents are read; the headers of
+    all files are checked by the scan."""
     if not paths:
         raise ValueError("no input path given")
     files = input_files(spark, paths)
@@ -39,17 +39,36 @@ def check_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     repeated = files.groupBy("source_file").count().where("count > 1").first()
     if repeated is not None:
         raise ValueError(f"input files with equal names: {repeated['source_file']}")
-    for path in paths:
-        header = spark.read.option("header", True).csv(path).columns
-        if tuple(header) != RAW_COLUMNS:
-            raise ValueError(f"unexpected header in {path}: {header}")
+
+
+@contextmanager
+def exact_names(spark: SparkSession) -> Iterator[None]:
+    """The scan compares header names as the session compares column names, so for a header of
+    exactly the nine names the session has to tell case apart while the scan is planned."""
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
+
+
+@contextmanager
+def staged_events(spark: SparkSession, paths: Sequence[str]) -> Iterator[DataFrame]:
+    """All rows of the files, parsed once into the shared folder. A file with another header,
+    whichever of them it is, ends the job."""
+    with ExitStack() as stack:
+        with exact_names(spark):
+            rows = stack.enter_context(staged(read_events(spark, paths), "bronze"))
+        yield rows
 
 
 def read_events(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All rows as text, lines that do not fit marked in the corrupt column.
 
     Column pruning stays off: with it the reader would parse only the columns a query names
-    and miss bad lines. ``enforceSchema=false`` makes the scan fail on another header.
+    and miss bad lines. ``enforceSchema=false`` makes the scan fail on another header, in any of
+    the files; with :func:`exact_names` on names in other case too.
     """
     rows = (
         spark.read.schema(RAW_SCHEMA)

@@ -20,7 +20,12 @@ WITHOUT_SQL = {
     "purchase_model_metrics",
     "purchase_model_coefficients",
 }
-JOBS = WITHOUT_SQL | {"csv_corrupt_scan", "medallion_roundtrip"}
+JOBS = WITHOUT_SQL | {
+    "csv_corrupt_scan",
+    "header_contract",
+    "medallion_audit",
+    "medallion_roundtrip",
+}
 
 
 @pytest.fixture(scope="module")

@@ -281,3 +281,18 @@ def test_both_classes_are_needed(spark):
         purchase_model.train_and_evaluate_months(rows, "2019-10", "2019-12")
     with pytest.raises(ValueError, match="train examples"):
         purchase_model.train_and_evaluate_months(rows.where("label = 0"), "2019-10", "2019-11")
+
+
+def test_exact_areas_by_hand(spark):
+    """Pairs of a positive and a negative in the right order, ties by half; and a curve of four
+    points, each with its precision and recall."""
+    rows = scored(
+        spark, (1, 1, 0.9), (1, 1, 0.7), (0, 1, 0.7), (1, 0, 0.4), (0, 0, 0.4), (0, 0, 0.4), (0, 0, 0.1)
+    )
+    found = scoring.score_areas(rows).first()
+    assert found["roc_auc"] == pytest.approx((4 + 3.5 + 2) / 12)
+    precision = [1, 2 / 3, 3 / 6, 3 / 7]
+    steps = [1 / 3 * 1, 1 / 3 * (1 + precision[1]) / 2, 1 / 3 * (precision[1] + precision[2]) / 2]
+    assert found["pr_auc"] == pytest.approx(sum(steps))
+    assert scoring.score_areas(rows.where("label = 0")).first()["roc_auc"] is None
+    assert scoring.score_areas(rows.limit(0)).first()["pr_auc"] is None

@@ -394,6 +394,9 @@ FROM judged""",
   CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_excess_rows
 FROM (SELECT count(*) AS n FROM raw_rows GROUP BY {_RAW}, _corrupt_record) WHERE n > 1""",
         "price_quantiles_exact": f"SELECT {_QUARTILES} FROM {_PRICES}",
+        "price_flags": f"""SELECT amount, amount < q1 - 1.5 * (q3 - q1)
+    OR amount > q3 + 1.5 * (q3 - q1) AS is_outlier, count(*) AS price_rows
+FROM {_PRICES}, (SELECT {_QUARTILES} FROM {_PRICES}) q GROUP BY 1, 2""",
         "price_outliers_exact": f"""SELECT q.valid_numeric_count, q."min", q.q1, q.median, q.q3,
   q."max", round(q1 - 1.5 * (q3 - q1), 6) AS iqr_lower_fence,
   round(q3 + 1.5 * (q3 - q1), 6) AS iqr_upper_fence,
@@ -453,6 +456,17 @@ FROM bought GROUP BY category_code""",
   count(*) / nullif(2 * count(*) FILTER (label = 1), 0)::DOUBLE AS positive_weight
 FROM examples WHERE event_month = '{registry.TRAIN_MONTH}'""",
         "score_confusion": "SELECT * FROM matrix",
+        "score_areas": """SELECT
+  round(sum(neg * (tp - pos / 2.0) / nullif(p_all * n_all, 0)), 9) AS roc_auc,
+  round(sum(pos::DOUBLE / nullif(p_all, 0) * (tp::DOUBLE / (tp + fp)
+    + CASE WHEN tp - pos + fp - neg > 0 THEN (tp - pos)::DOUBLE / nullif(tp - pos + fp - neg, 0)
+      ELSE tp::DOUBLE / (tp + fp) END) / 2), 9) AS pr_auc
+FROM (SELECT pos, neg, (sum(pos) OVER down)::DOUBLE AS tp, (sum(neg) OVER down)::DOUBLE AS fp,
+    (sum(pos) OVER ())::DOUBLE AS p_all, (sum(neg) OVER ())::DOUBLE AS n_all
+  FROM (SELECT round(probability, 10) AS probability, count(*) FILTER (label = 1) AS pos,
+          count(*) FILTER (label = 0) AS neg
+        FROM judged_scores GROUP BY 1)
+  WINDOW down AS (ORDER BY probability DESC))""",
         "score_rates": """SELECT p AS "precision", r AS recall,
   coalesce(2 * p * r / nullif(p + r, 0), 0.0) AS f1, a AS accuracy
 FROM (SELECT true_positive / nullif(true_positive + false_positive, 0)::DOUBLE AS p,
@@ -520,6 +534,13 @@ UNION ALL SELECT 'Value', 'view_to_purchase_rate',
   count(purchase_time) / nullif(count(*), 0)::DOUBLE FROM pf)""",
         "csv_corrupt_scan": """SELECT kind AS event_type, count(*) AS record_count,
   count(*) FILTER (_corrupt_record IS NOT NULL) AS corrupt_records FROM parsed GROUP BY kind""",
+        "medallion_audit": """SELECT count(*) AS source_rows,
+  count(*) FILTER (NOT bad) AS valid_rows_before_dedup, count(*) FILTER (bad) AS rejected_rows,
+  (SELECT count(*) FROM silver) AS silver_rows,
+  count(*) FILTER (NOT bad) - (SELECT count(*) FROM silver) AS duplicate_excess_rows_removed
+FROM judged""",
+        "header_contract": """SELECT * FROM (VALUES ('exact', true), ('upper case', false),
+  ('swapped', false), ('missing', false)) AS v(header_case, accepted)""",
         "medallion_roundtrip": f"""SELECT 'silver' AS table_name, count(*) AS row_count,
   round(sum(price), 2) AS measure FROM silver
 UNION ALL SELECT 'funnel_by_month', count(DISTINCT event_month), count(*)::DOUBLE FROM sf

@@ -27,7 +27,7 @@ from clickloom.operators import (
 from clickloom.plans import medallion, purchase_model
 from clickloom.schema import CORRUPT, GOLD_TABLES, RAW_COLUMNS
 from clickloom.session import shared_folder, use_utc
-from clickloom.sources.events_csv import read_events
+from clickloom.sources.events_csv import read_events, staged_events
 from clickloom.sources.lake import staged, write_table
 from verification.clicks import clicks_raw
 
@@ -248,6 +248,16 @@ def price_outliers_exact(spark, sf):
     return _rounded(summary, 6, "iqr_lower_fence", "iqr_upper_fence")
 
 
+@query
+def price_flags(spark, sf):
+    """Valid prices with their outlier mark, equal ones counted."""
+    amounts = prices.valid_prices(parsed(spark, sf))
+    fences = prices.with_fences(prices.exact_quantiles(amounts))
+    return prices.flag_outliers(amounts, fences).groupBy("amount", "is_outlier").agg(
+        F.count(F.lit(1)).alias("price_rows")
+    )
+
+
 @query
 def price_quantiles_approx(spark, sf):
     return prices.approximate_quantiles(prices.valid_prices(parsed(spark, sf)))
@@ -400,6 +410,13 @@ def score_calibration(spark, sf):
     return scoring.score_calibration(scoring.score_bins(scoring.score_counts(scored(spark, sf))))
 
 
+@query
+def score_areas(spark, sf):
+    # Scores that are equal but for the last bits, which engines work out differently, are one.
+    same = _rounded(scored(spark, sf), 10, "probability")
+    return _rounded(scoring.score_areas(same), 9, "roc_auc", "pr_auc")
+
+
 @query
 def confusion_grid(spark, sf):
     return scoring.confusion_grid(scoring.confusion(scoring.score_counts(scored(spark, sf))))
@@ -529,6 +546,53 @@ def csv_corrupt_scan(spark, sf):
         return write_table(counts, shared_folder(spark, "counts"))
 
 
+@query
+def medallion_audit(spark, sf):
+    """Counts of the audit document, read back from its JSON, and sizes of the file table."""
+    lake = shared_folder(spark, "lake")
+    with csv_files(clicks_raw(spark, sf)) as folder:
+        medallion.run_medallion(
+            spark, [folder], f"{lake}/silver", f"{lake}/gold", f"{lake}/summary"
+        )
+    names = ("source_rows", "valid_rows_before_dedup", "rejected_rows", "silver_rows",
+             "duplicate_excess_rows_removed")
+    schema = ", ".join(f"{name} bigint" for name in names)
+    written = spark.read.text(f"{lake}/summary", wholetext=True)
+    return written.select(F.from_json("value", schema).alias("audit")).select("audit.*")
+
+
+@query
+def header_contract(spark, sf):
+    """Whether files of all rows are accepted with the right header, and with one file's header
+    in upper case, with two names swapped, and with a name missing."""
+    lines = clicks_raw(spark, sf).select(*RAW_COLUMNS)
+    swapped = [*RAW_COLUMNS[:4], RAW_COLUMNS[5], RAW_COLUMNS[4], *RAW_COLUMNS[6:]]
+    cases = {
+        "exact": RAW_COLUMNS,
+        "upper case": [name.upper() for name in RAW_COLUMNS],
+        "swapped": swapped,
+        "missing": RAW_COLUMNS[:-1],
+    }
+    found = []
+    for name, header in cases.items():
+        folder = shared_folder(spark, "header")
+        for part, columns in (("a", RAW_COLUMNS), ("b", header)):
+            half = lines.where(F.pmod(F.xxhash64("event_time"), F.lit(2)) == int(part == "b"))
+            half.toDF(*[f"c{i}" for i in range(9)]).select(
+                *[F.col(f"c{i}").alias(column) for i, column in enumerate(columns)]
+            ).write.option("header", True).csv(f"{folder}/{part}")
+        accepted = True
+        try:
+            with staged_events(spark, [f"{folder}/a", f"{folder}/b"]) as rows:
+                accepted = rows.count() == lines.count()
+        except Exception as refused:  # the scan's own error, whatever wraps it
+            if "header" not in str(refused).lower():
+                raise
+            accepted = False
+        found.append((name, accepted))
+    return spark.createDataFrame(found, "header_case string, accepted boolean")
+
+
 @query
 def medallion_roundtrip(spark, sf):
     """Files to Silver and Gold and back: rows and a measure of each written table."""
