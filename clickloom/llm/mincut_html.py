@@ -41,16 +41,23 @@ CLOSED_BY_OWN_KIND = {
 # Names in tags, classes, ids and roles that speak for or against content.
 AGAINST = frozenset(
     "ad ads adv advert adverts advertisement advertising aside banner bar breadcrumb breadcrumbs "
-    "byline comment comments commenting consent contentinfo cookie cookies copyright dialog "
+    "comment comments commenting consent contentinfo cookie cookies copyright dialog "
     "disclaimer discussion disqus footer form gdpr header legal login masthead menu menus modal "
     "nav navbar navbars navigation navigations newsletter notice notices notification "
     "notifications overlay pager pagination popup privacy promo promos promotion promotions "
     "recommended recommendations related reply replies responses search share sharing sidebar "
-    "sidebars signup skip social sponsor sponsored sponsors subscribe subscription tags toolbar "
+    "sidebars signup skip social sponsor sponsored sponsors subscribe subscription toolbar "
     "widget widgets alert complementary respond".split()
 )
+AGAINST_BEGINNINGS = (
+    "advert", "banner", "breadcrumb", "comment", "cookie", "footer", "navbar", "newsletter", "promo",
+    "sidebar", "sponsor",
+)
+AGAINST_ENDS = ("footer", "menu", "nav", "sidebar")
 FOR = frozenset("article articles body content entry main post story text".split())
 AGAINST_SCORE, FOR_SCORE = -8.0, 3.0
+# A header counts outside of content only, a form not around an article or the main part.
+HEADER_SCORE, FORM_SCORE = -7.5, -7.0
 
 _TAG = re.compile(
     r"<!--(?:.*?--!?>|.*\Z)"
@@ -87,8 +94,18 @@ def _own_hint(tag: str, attributes: str) -> float | None:
         for found in _NAMES.finditer(attributes) if attributes else ():
             value = found[1] or found[2] or found[3] or ""
             names.update(_WORD_PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-        against, for_ = bool(names & AGAINST), bool(names & FOR)
-        hint = (AGAINST_SCORE if against else 0.0) + (FOR_SCORE if for_ else 0.0)
+        against = {
+            name
+            for name in names
+            if name in AGAINST or name.startswith(AGAINST_BEGINNINGS) or name.endswith(AGAINST_ENDS)
+        }
+        hint = FOR_SCORE if names & FOR else 0.0
+        if against == {"header"}:
+            hint = 0.0 if hint else HEADER_SCORE
+        elif against == {"form"}:
+            hint = FORM_SCORE
+        elif against:
+            hint += AGAINST_SCORE
         if attributes and _HIDDEN.search(attributes):
             hint = None
     if len(_hints) > 20_000:
@@ -176,13 +193,15 @@ def blocks(page: str) -> list[Block]:
             links += 1
         own = _own_hint(tag, attributes)
         inside_content = stack[-1][2] > 0
-        if own is not None and tag in ("header", "hgroup") and inside_content:
+        if own == HEADER_SCORE and inside_content:
             own = 0.0  # an article's own headline
         number += 1
         around = stack[-1][2]
         hint = around if own is None or not own else (own if own < 0 else around + own)
-        if around < 0 and hint > around:
+        if around < 0 and hint > around and not (around == FORM_SCORE and tag in ("article", "main")):
             hint = around  # nothing inside of boilerplate makes it content again
+        elif around == FORM_SCORE and tag in ("article", "main"):
+            hint = FOR_SCORE
         stack.append((tag, number, min(hint, FOR_SCORE), stack[-1][3] and own is not None))
     finish()
     return found

@@ -45,6 +45,11 @@ AROUND = [
     f"<article>{ARTICLE}</p><div class=advert><p>{LONG}</p></div></article><script>if (a<b) x('<p>no</p>')</script>",
     f"<!-- <p>{LONG}</p> --><style>p>a{{}}</style><article>{ARTICLE}</article><!-- open <p>{LONG}",
     f"<div style='display:none'><p>{LONG}</p></div><article>{ARTICLE}",
+    f"<article>{ARTICLE}</article><ol class='commentlist'><li><p>{LONG}</p></li></ol>",
+    f"<div class='siteNav'><p>{LONG}</p></div><div class=post>{ARTICLE}</div><div id=pageFooter>{LONG}</div>",
+    f"<form action=/all><main>{ARTICLE}</main><p>{LONG}</p></form>",
+    f"<div class='site-header'><p>{LONG}</p></div><article><header class='article-header'>"
+    f"{ARTICLE}</header></article>",
 ]
 
 
