@@ -20,7 +20,7 @@ PASSAGE_WORDS = 64
 # The model is fitted on a bounded sample: so many labelled documents at most, and of each so many
 # passages, spread evenly over the text. Scoring takes all passages.
 FIT_DOCUMENTS, FIT_PASSAGES = 3000, 48
-HIDDEN, GATES, STEPS, RATE, DECAY, SEED = 16, 8, 300, 0.02, 1e-4, 7
+HIDDEN, GATES, STEPS, RATE, DECAY, SEED = 16, 8, 300, 0.02, 1e-3, 7
 
 _GROUPS = (
     b"abcdefghijklmnopqrstuvwxyz",

@@ -4,6 +4,7 @@ import pytest
 
 from clickloom.llm import queries
 from clickloom.llm.common import table
+from tests.llm.conftest import ODD_TEXTS
 from tests.llm.test_ngram_join import components_by_hand
 
 TABLES = "documents pages benchmark labels conversations".split()
@@ -58,3 +59,16 @@ def test_pipeline_stage_by_stage(spark, small):
     by_hand = components_by_hand([(i, texts[i]) for i in ids[2]])
     assert ids[3] == {i for i, (_, least) in by_hand.items() if i == least}
     assert ids[4] == ids[3]
+
+
+def test_stages_stand_odd_and_no_rows(spark, small, docs, clashing):
+    rows = clashing(docs(*ODD_TEXTS, (None, "no id " * 3), (4, ODD_TEXTS[4]), *[(50 + n, CLEAN) for n in range(3)]))
+    for frame in (rows, rows.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, frame, small)
+            assert out.count() >= 0, name
+    kept = corpus_pipeline.STAGES[2][1](spark, rows, small).collect()
+    assert [row["doc_id"] for row in kept if row["text"] == CLEAN] == [50]
+
+
+CLEAN = " ".join(f"word{n}" for n in range(90))
