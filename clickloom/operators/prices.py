@@ -25,20 +25,34 @@ def approximate_quantiles(prices: DataFrame, relative_error: float = 0.01) -> Da
     )
 
 
-def exact_quantiles(prices: DataFrame, bins: int = 200) -> DataFrame:
-    """The same row without error: the value at rank ``ceil(p * n)``.
+def price_counts(prices: DataFrame) -> DataFrame:
+    """Distinct prices and how often each comes."""
+    return prices.groupBy("amount").agg(F.count(F.lit(1)).alias("n"))
 
-    Equal prices are first counted. An approximate pass (its few cut points come to the
-    driver) then splits the distinct prices into value ranges, so that running counts are
-    kept per range instead of over one global sort.
-    """
-    cuts = prices.agg(
-        F.percentile_approx("amount", [i / bins for i in range(1, bins)], 10 * bins).alias("cuts")
-    ).first()["cuts"]
-    cut_points = F.array(*[F.lit(cut) for cut in sorted(set(cuts or []))]).cast("array<double>")
 
-    counts = prices.groupBy("amount").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("bin", F.size(F.filter(cut_points, lambda cut: cut < F.col("amount"))))
+def exact_quantiles(prices: DataFrame, bins: int | None = None) -> DataFrame:
+    """The same row without error: the value at rank ``ceil(p * n)``."""
+    return counted_quantiles(price_counts(prices), bins)
+
+
+def counted_quantiles(counts: DataFrame, bins: int | None = None) -> DataFrame:
+    """Exact quantiles from distinct prices and their counts.
+
+    Cut points that lie evenly among the distinct prices split them into as many value ranges as
+    the session has shuffle partitions (200 at least), so running counts are kept per range
+    instead of over one global sort. The cuts are a value inside the query.
+    """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bins = bins or max(200, partitions)
+    cuts = counts.agg(
+        F.array_distinct(
+            F.percentile_approx("amount", [i / bins for i in range(1, bins)], 10 * bins)
+        ).alias("cuts")
+    ).scalar()
+    below = F.filter(
+        F.coalesce("cuts", F.array().cast("array<double>")), lambda cut: cut < F.col("amount")
+    )
+    counts = counts.withColumn("cuts", cuts).select("amount", "n", F.size(below).alias("bin"))
     # At most `bins` rows, whatever the input.
     starts = (
         counts.groupBy("bin")
@@ -92,6 +106,21 @@ def _outside(fences: Column) -> Column:
     return (amount < fences["iqr_lower_fence"]) | (amount > fences["iqr_upper_fence"])
 
 
+def exact_price_summary(prices: DataFrame) -> DataFrame:
+    """Exact quartiles, fences and outlier count, all from the distinct prices."""
+    counts = price_counts(prices)
+    fences = with_fences(counted_quantiles(counts))
+    row = _as_value(fences)
+    outliers = counts.agg(
+        F.coalesce(F.sum(F.when(_outside(row), F.col("n"))), F.lit(0)).alias(
+            "iqr_outlier_candidate_count"
+        )
+    )
+    return outliers.select(
+        *[row[name].alias(name) for name in fences.columns], "iqr_outlier_candidate_count"
+    )
+
+
 def price_summary(prices: DataFrame, quantiles: DataFrame) -> DataFrame:
     """Quartiles, fences and outlier count in one row; without prices all but the counts are NULL."""
     fences = with_fences(quantiles)

@@ -244,7 +244,7 @@ def price_quantiles_exact(spark, sf):
 @query
 def price_outliers_exact(spark, sf):
     amounts = prices.valid_prices(parsed(spark, sf))
-    summary = prices.price_summary(amounts, prices.exact_quantiles(amounts))
+    summary = prices.exact_price_summary(amounts)
     return _rounded(summary, 6, "iqr_lower_fence", "iqr_upper_fence")
 
 
