@@ -185,7 +185,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     order = kept(
         _in_order(rows.groupBy("id", "tie", "n").agg(F.count(F.lit(1)).alias("copies"))), "order"
     )
-    texts = rows.groupBy("id", "tie").agg(F.first("text").alias("text"), F.first("n").alias("n"))
+    # Both uses of the texts need the same columns, so that they share one shuffle.
+    texts = rows.groupBy("id", "tie").agg(F.first("text").alias("text"))
     texts = texts.join(order.select("id", "tie", "behind"), ["id", "tie"])
     # The beginning of each text goes to the document before it.
     patches = texts.select(
@@ -193,7 +194,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.col("behind.tie").alias("tie"),
         F.substring("text", F.lit(1), F.floor(F.col("behind.n") / 4).cast("int")).alias("patch"),
     )
-    rest = (F.col("n") - F.floor(F.col("n") / 4)).cast("int")
+    n = F.length("text")
+    rest = (n - F.floor(n / 4)).cast("int")
     both = (
         texts.join(patches, ["id", "tie"])
         .withColumn("edited", F.concat(F.substring("text", F.lit(1), rest), F.col("patch")))
