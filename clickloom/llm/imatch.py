@@ -23,6 +23,7 @@ from clickloom.llm.common import kept
 LEAST_PARTS, MOST_PARTS = 5, 500
 LEVELS = (4, 16, 64, 256)  # one of so many terms is in a subset
 SUBSETS = 6  # of each level
+MIDDLE = 20  # the lowest bit of a product of code and multiplier that is looked at
 TOKEN = 6  # hex digits of a subset: two for its number of terms (up to 255), the rest a hash
 # The lexicon has at most (distinct terms of an average document) * MOST_PARTS terms. Up to so many it
 # is sent to all executors; a larger one is joined by shuffle.
@@ -44,7 +45,7 @@ def terms(text: Column) -> Column:
 
 
 def code(term: Column) -> Column:
-    return F.conv(F.substring(F.md5(term), 1, 7), 16, 10).cast("int")
+    return F.conv(F.substring(F.md5(term), 1, 7), 16, 10).cast("long")
 
 
 def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -67,7 +68,7 @@ def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
 def fingerprint(codes: Column, digest: Column) -> Column:
     """Hashes of all subsets, one after the other, of distinct codes; of a text without a term in
     the lexicon its digest, so that it is like equal texts only."""
-    ordered = F.array_sort(codes)
+    ordered = F.sort_array(codes)
     chosen = F.array(
         *[F.filter(ordered, _in_subset(n)) for n in range(len(LEVELS) * SUBSETS)]
     )
@@ -87,8 +88,7 @@ def _in_subset(number: int) -> Callable[[Column], Column]:
     factor, level = multiplier(number), LEVELS[number // SUBSETS]
 
     def inside(one: Column) -> Column:
-        mixed = F.shiftright(one.cast("long") * F.lit(factor), 20)
-        return mixed.bitwiseAND(F.lit(level - 1).cast("long")) == 0
+        return (one * F.lit(factor)).bitwiseAND(F.lit((level - 1) << MIDDLE).cast("long")) == 0
 
     return inside
 
