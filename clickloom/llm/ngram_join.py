@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.llm.common import kept, map_rows, slices
 
@@ -375,10 +375,12 @@ def _hung(edges: DataFrame) -> DataFrame:
     )
 
 
-def _split_rows(
-    product: DataFrame, facts: DataFrame, labels: DataFrame, entries: DataFrame
-) -> DataFrame:
-    """Pairs of long rows that lie in different components and that the bounds allow."""
+def _split_rows(product: DataFrame, facts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that share long rows only, lie in different components, and may be linked.
+
+    Pairs with an entry have been judged before, so all that these share are long rows. A node
+    that must share ``need`` of its long rows with a partner shares one of any ``own - need + 1``
+    of them, and looks for partners in so many only."""
     rows = (
         product.where(F.col("kind") == IN_LONG_ROW)
         .select("gram", F.col("a").alias("node"))
@@ -392,32 +394,29 @@ def _split_rows(
         F.max("n").alias("most_n"),
         F.min_by("component", F.struct(F.col("rare") / F.col("n"), "n", "node")).alias("main"),
     )
-    fewest = (
+    need = (
         F.ceil((F.col("n") + F.greatest("least_n", F.ceil(F.col("n") * 4 / 5))) * 4 / 9)
         - F.ceil(F.least("most_n", F.floor(F.col("n") * 5 / 4)) * 4 / 5)
         + 1
     )
-    able = rows.join(spans, "gram").where(F.col("in_long") + F.col("in_block") >= fewest)
-    others = able.where("component <> main")
-    pairs = (
+    own = Window.partitionBy("node")
+    able = (
+        rows.join(spans, "gram")
+        .withColumn("need", F.greatest(F.min(need).over(own), F.lit(1)))
+        .withColumn("own", F.count(F.lit(1)).over(own))
+        .where("own >= need")
+        .withColumn("nth", F.row_number().over(own.orderBy("gram")))
+    )
+    others = able.where("component <> main AND nth <= own - need + 1")
+    return (
         others.alias("x")
         .join(able.alias("y"), F.col("x.gram") == F.col("y.gram"))
         .where("x.component <> y.component")
-        .where("y.component = y.main OR x.node < y.node")
         .where(_sizes_fit("x", "y"))
-        .where(
-            F.least(
-                F.col("x.in_long") + F.col("x.in_block"), F.col("y.in_long") + F.col("y.in_block")
-            )
-            >= _entries_needed("x", "y")
-        )
+        .where(F.least("x.own", "y.own") >= _entries_needed("x", "y"))
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
     )
-    counted = pairs.join(entries, ["a", "b"], "left").withColumn(
-        "entries", F.coalesce("entries", F.lit(0))
-    )
-    return _possible(counted, facts)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -477,7 +476,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     links = kept(_linked(docs, kept(_possible(pairs, facts), "pairs")), "links")
     labels = kept(components(links), "labels")
-    more = kept(_split_rows(product, facts, labels, entries), "pairs")
+    more = kept(_split_rows(product, facts, labels), "pairs")
     if not more.isEmpty():
         labels = components(links.unionByName(_linked(docs, more)))
     sets = heads.select("doc_id", F.col("n").alias("n_shingles"), "set_a", "set_b")
