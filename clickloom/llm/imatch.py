@@ -13,6 +13,8 @@ a multiplier, so SQL elsewhere can repeat it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -67,7 +69,7 @@ def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def fingerprint(codes: Column, digest: Column) -> Column:
     """Hashes of all subsets, one after the other, of distinct codes; of a text without a term in
-    the lexicon its digest, so that it is like equal texts only."""
+    any subset its digest, so that it is like equal texts only."""
     ordered = F.sort_array(codes)
     chosen = F.array(
         *[F.filter(ordered, _in_subset(n)) for n in range(len(LEVELS) * SUBSETS)]
@@ -79,9 +81,12 @@ def fingerprint(codes: Column, digest: Column) -> Column:
             F.substring(F.md5(F.array_join(some, " ")), 1, TOKEN - 2),
         ),
     )
-    return F.when(F.size(codes) > 0, F.array_join(tokens, "")).otherwise(
-        F.concat(F.lit("text "), digest)
+    # About a tenth of the lexicon is in no subset at all.
+    held = F.exists(
+        codes,
+        lambda one: reduce(or_, [_in_subset(n)(one) for n in range(len(LEVELS) * SUBSETS)]),
     )
+    return F.when(held, F.array_join(tokens, "")).otherwise(F.concat(F.lit("text "), digest))
 
 
 def _in_subset(number: int) -> Callable[[Column], Column]:

@@ -99,6 +99,27 @@ def test_repeated_null_and_lone_ids(docs):
     assert imatch.edited_fingerprints(docs("a").limit(0)).count() == 0
 
 
+def test_texts_without_a_term_in_any_subset(docs):
+    def lies(term):
+        number = int(hashlib.md5(term.encode()).hexdigest()[:7], 16)
+        return [
+            number * imatch.multiplier(n) >> imatch.MIDDLE & imatch.LEVELS[n // imatch.SUBSETS] - 1
+            for n in range(len(imatch.LEVELS) * imatch.SUBSETS)
+        ]
+
+    words = [f"w{n}" for n in range(400)]
+    one, other = [word for word in words if all(lies(word))][:2]
+    held = next(word for word in words if not all(lies(word)))
+    texts = [one, other, other, f"{one}\n", f"{one} {held}", held, *(f"only{n}" for n in range(20))]
+    rows = sorted(imatch.edited_fingerprints(docs(*texts)).collect(), key=lambda row: row["doc_id"])
+    for row, text in list(zip(rows, texts, strict=True))[:4]:
+        assert row["fingerprint"] == f"text {hashlib.sha256(text.encode()).hexdigest()}"
+    assert [row["near_next"] for row in rows[:3]] == [0.0, 1.0, 0.0]
+    # A term in no subset does not count beside one that is in some.
+    assert rows[4]["fingerprint"] == rows[5]["fingerprint"]
+    assert not rows[5]["fingerprint"].startswith("text ")
+
+
 # --- lists -------------------------------------------------------------------
 CHANGES = [
     ("example.com", "block", date(2024, 1, 10)),
