@@ -59,10 +59,16 @@ AGAINST_SCORE, FOR_SCORE = -8.0, 3.0
 # A header counts outside of content only, a form not around an article or the main part.
 HEADER_SCORE, FORM_SCORE = -7.5, -7.0
 
+# Attributes as HTML reads them: a quote is one right after "=" only, and ends at the next of its
+# kind, however far; one without an end is part of a bare value. Nothing is read twice.
+_BLANK = r" \t\n\f\r"
+_ATTRIBUTES = (
+    rf"(?:[{_BLANK}/]++|[^{_BLANK}/>][^{_BLANK}/>=]*+"
+    rf"(?:[{_BLANK}]*+=[{_BLANK}]*+(?:\"[^\"]*+\"|'[^']*+'|[^{_BLANK}>]*+))?+)*+"
+)
 _TAG = re.compile(
     r"<!--(?:.*?--!?>|.*\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
@@ -150,11 +156,11 @@ def blocks(page: str) -> list[Block]:
             break
         add(page[at : match.start()])
         at = match.end()
-        name = match[2] or match[5]
+        name = match[2]
         if not name:
             continue
         tag = name.lower()
-        if match[1] or match[4]:
+        if match[1]:
             if tag == "a" and links:
                 links -= 1
             if tag in BLOCK_TAGS:
@@ -166,7 +172,7 @@ def blocks(page: str) -> list[Block]:
                 if stack[depth][0] in BLOCK_TAGS and tag not in BLOCK_TAGS:
                     break  # an inline end tag closes nothing outside of its block
             continue
-        attributes = match[3] or match[6] or ""
+        attributes = match[3]
         closed = attributes.endswith("/")
         if tag in DROPPED_TAGS:
             if not closed:

@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -71,6 +72,27 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(pages.main_text(page), str)
 
 
+@pytest.mark.parametrize("size", [100, 5_000, 500_000])
+@pytest.mark.parametrize("quote", "\"'")
+def test_long_attributes_are_no_text(size, quote):
+    value = f"<b>x</b> <p>{LONG}</p> " + "x" * size
+    page = f"<div data-json={quote}{value}{quote}></div><article data-json = {quote}{value}{quote}>{ARTICLE}</article>"
+    assert pages.main_text(page) == WANTED
+
+
+@pytest.mark.parametrize("odd", ["t=it's", "it's", 't=5"', '"', "t='a'b'", "t=a='", "='", "t=/'/"])
+def test_quotes_elsewhere_are_no_quotes(odd):
+    page = f"<article><p {odd}>{LONG}</p><p {odd}>{LONG}</p></article>"
+    assert pages.main_text(page) == " ".join(f"{LONG} {LONG}".split())
+
+
+@pytest.mark.parametrize("part", ["<a b=\">\" ", "<a b='", "<a b=\"'", "<a b= ' \"", "<a/=", "<a \"'"])
+def test_broken_attributes_are_read_once(part):
+    begin = time.process_time()
+    assert isinstance(pages.main_text(part * 200_000), str)
+    assert time.process_time() - begin < 10
+
+
 def test_rows_of_pages(spark):
     rows = [(1, "u", AROUND[0], "x"), (1, "u", AROUND[0], "x"), (None, None, None, "x"), (2, "v", "", "x")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
