@@ -56,6 +56,11 @@ AGAINST_BEGINNINGS = (
 AGAINST_ENDS = ("footer", "menu", "nav", "sidebar")
 FOR = frozenset("article articles body content entry main post story text".split())
 AGAINST_SCORE, FOR_SCORE = -8.0, 3.0
+# Where a name against content may be about something else, it lowers the score and settles nothing.
+LOWERED_SCORE = -2.0
+# First words of names that tell what an element has, not what it is.
+HAVING = frozenset("has have no with without".split())
+POSTS = frozenset("post hentry".split())
 # A header counts outside of content only, a form not around an article or the main part.
 HEADER_SCORE, FORM_SCORE = -7.5, -7.0
 
@@ -72,8 +77,12 @@ _TAG = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$|/)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(
+    rf"([^{_BLANK}/>][^{_BLANK}/>=]*+)"
+    rf"(?:[{_BLANK}]*+=[{_BLANK}]*+(?:\"([^\"]*+)\"|'([^']*+)'|([^{_BLANK}>]*+)))?+"
+)
+_NAMES = re.compile(r"\b(?:class|id|role)$", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _WORD_PARTS = re.compile(r"[a-z]+")
 _ENDS = (".", "!", "?", ":", "…", "”", "。", ";")
 
@@ -86,33 +95,55 @@ class Block:
         self.link_words, self.tag, self.path, self.hint = link_words, tag, path, hint
 
 
-_hints: dict[tuple[str, str], float | None] = {}
+_hints: dict[tuple[str, str, bool], float | None] = {}
+
+
+def _is_against(name: str) -> bool:
+    return name in AGAINST or name.startswith(AGAINST_BEGINNINGS) or name.endswith(AGAINST_ENDS)
 
 
-def _own_hint(tag: str, attributes: str) -> float | None:
-    """What a container's tag and names say; None for what is not shown."""
-    key = (tag, attributes)
+def _own_hint(tag: str, attributes: str, lowered: bool = False) -> float | None:
+    """What a container's tag and names say; None for what is not shown. With ``lowered``, names
+    (but not the tag or role) lower the score only."""
+    key = (tag, attributes, lowered)
     if key in _hints:
         return _hints[key]
     hint: float | None = 0.0
     if tag not in ("html", "body"):
-        names = {tag}
-        for found in _NAMES.finditer(attributes) if attributes else ():
-            value = found[1] or found[2] or found[3] or ""
-            names.update(_WORD_PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-        against = {
-            name
-            for name in names
-            if name in AGAINST or name.startswith(AGAINST_BEGINNINGS) or name.endswith(AGAINST_ENDS)
-        }
+        # All words, those against content, and of these the ones that tell what the element is.
+        names, against, firm = {tag}, {tag} if _is_against(tag) else set(), set()
+        hidden, posted = False, tag == "article"
+        for found in _ATTRIBUTE.finditer(attributes) if attributes else ():
+            name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+            if name == "hidden":
+                hidden = True
+            elif name == "aria-hidden":
+                hidden |= value.strip().lower().startswith("true")
+            elif name == "style":
+                hidden |= bool(_NO_DISPLAY.search(value))
+            elif _NAMES.search(name):
+                for one in value.split():
+                    words = _WORD_PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower())
+                    names.update(words)
+                    posted |= one.lower() in POSTS
+                    if words and words[0] not in HAVING:
+                        against.update(filter(_is_against, words))
+                        if name == "role":
+                            firm.update(filter(_is_against, words))
+                        elif _is_against(words[0]) and not lowered and tag != "main":
+                            firm.add(words[0])
+        if _is_against(tag):
+            firm.add(tag)
         hint = FOR_SCORE if names & FOR else 0.0
         if against == {"header"}:
             hint = 0.0 if hint else HEADER_SCORE
         elif against == {"form"}:
             hint = FORM_SCORE
+        elif against and not firm and (posted or lowered or tag == "main"):
+            hint += LOWERED_SCORE
         elif against:
             hint += AGAINST_SCORE
-        if attributes and _HIDDEN.search(attributes):
+        if hidden:
             hint = None
     if len(_hints) > 20_000:
         _hints.clear()
@@ -120,8 +151,9 @@ def _own_hint(tag: str, attributes: str) -> float | None:
     return hint
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks of text in the order of the page."""
+def blocks(page: str, lowered: frozenset[int] = frozenset()) -> list[Block]:
+    """Blocks of text in the order of the page. Names of the elements whose numbers are given only
+    lower the score."""
     found: list[Block] = []
     # Open elements: tag, number, hint of the element and all around it, and whether it is shown.
     stack: list[tuple[str, int, float, bool]] = [("", 0, 0.0, True)]
@@ -197,14 +229,14 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "a":
             links += 1
-        own = _own_hint(tag, attributes)
+        own = _own_hint(tag, attributes, number + 1 in lowered)
         inside_content = stack[-1][2] > 0
         if own == HEADER_SCORE and inside_content:
             own = 0.0  # an article's own headline
         number += 1
         around = stack[-1][2]
         hint = around if own is None or not own else (own if own < 0 else around + own)
-        if around < 0 and hint > around and not (around == FORM_SCORE and tag in ("article", "main")):
+        if around < LOWERED_SCORE and hint > around and not (around == FORM_SCORE and tag in ("article", "main")):
             hint = around  # nothing inside of boilerplate makes it content again
         elif around == FORM_SCORE and tag in ("article", "main"):
             hint = FOR_SCORE
@@ -321,6 +353,19 @@ def _flow(left: list[int], own: list[float], near: list[dict[int, float]]) -> se
 
 def main_text(page: str) -> str:
     found = blocks(page)
+    text = _content(found)
+    if found and not text:
+        # Names of a container of most words may be about its layout or its subject.
+        words: dict[int, int] = {}
+        for block in found:
+            for element in block.path:
+                words[element] = words.get(element, 0) + block.words
+        half = sum(block.words for block in found) / 2
+        text = _content(blocks(page, frozenset(one for one, n in words.items() if n > half)))
+    return text
+
+
+def _content(found: Sequence[Block]) -> str:
     kept = min_cut([score(block) for block in found], smoothness(found))
     return " ".join(block.text for block, content in zip(found, kept, strict=True) if content)
 

@@ -86,6 +86,36 @@ def test_quotes_elsewhere_are_no_quotes(odd):
     assert pages.main_text(page) == " ".join(f"{LONG} {LONG}".split())
 
 
+@pytest.mark.parametrize(
+    "names",
+    [
+        "article data-title='The hidden life of trees'", "article class='md:flex hidden lg:block'",
+        "article title='set display: none'", "article data-x='aria-hidden=true'",
+        "article data-html='<p class=\"advert\">'", "article class='post-1 category-legal tag-privacy'",
+        "div class='post hentry category-social'", "main class='has-sidebar'", "main class='sidebar-right'",
+        "div class='layout with-sidebar'", "div class='sidebar-right'",
+    ],
+)
+def test_names_about_something_else(names):
+    tag = names.split()[0]
+    page = f"<nav><a href=/>Home</a></nav><{names}>{ARTICLE}</p></{tag}><footer>{LONG}</footer>"
+    assert pages.main_text(page) == WANTED
+
+
+@pytest.mark.parametrize(
+    "names",
+    [
+        "article hidden", "article HIDDEN=''", "article aria-hidden = \"true\"", "article style='a:b;display : none'",
+        "article class='comment-body'", "article class=related-post", "div class='comments'",
+        "div role=contentinfo", "div class='page-footer has-text'", "aside class=post",
+    ],
+)
+def test_names_of_the_element_itself(names):
+    tag = names.split()[0]
+    page = f"<article>{ARTICLE}</article><{names}><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></{tag}>"
+    assert pages.main_text(page) == WANTED
+
+
 @pytest.mark.parametrize("part", ["<a b=\">\" ", "<a b='", "<a b=\"'", "<a b= ' \"", "<a/=", "<a \"'"])
 def test_broken_attributes_are_read_once(part):
     begin = time.process_time()
