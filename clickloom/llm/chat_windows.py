@@ -23,7 +23,6 @@ from clickloom.llm.byte_bpe import byte_bpe
 from clickloom.llm.common import map_rows, slices
 
 BUDGET, HISTORY_TOKENS, HISTORY_TURNS = 1024, 256, 4
-TURN_TOKENS = 6  # for the marks of a turn
 START, END = "<|im_start|>", "<|im_end|>"
 _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + "\n", re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -49,6 +48,11 @@ def unescape_role(role: str) -> str:
     return _ESCAPED.sub(lambda found: "\n" if found[1] == "n" else found[1], role)
 
 
+def written(role: str, text: str) -> tuple[str, str]:
+    """A turn up to its text, and the rest of it, as they stand in a window."""
+    return f"{START}{escape_role(role)}\n", f"{escape(text)}{END}\n"
+
+
 @dataclass
 class _Turn:
     role: str
@@ -77,6 +81,8 @@ class _Conversation:
         room = self.budget - sum(t.tokens for t in front)
         if self.span and self.sums[-1] + turn.tokens > room:
             done = self.finish()
+        if not self.span and self.windows:
+            self._make_room(turn.tokens)
         if self.opening and turn.role == "system":
             self.system.append(turn)
         else:
@@ -92,11 +98,11 @@ class _Conversation:
         front = self.system + self.history if self.windows else []
         parts, loss, at = [], [], 0
         for number, turn in enumerate(front + self.span):
-            head = f"{START}{escape_role(turn.role)}\n"
-            body = escape(turn.text)
+            head, rest = written(turn.role, turn.text)
             if number >= len(front) and turn.role == "assistant":
-                loss.append({"start": at + len(head), "end": at + len(head) + len(body)})
-            parts.append(f"{head}{body}{END}\n")
+                end = at + len(head) + len(rest) - len(END) - 1
+                loss.append({"start": at + len(head), "end": end})
+            parts.append(head + rest)
             at += len(parts[-1])
         row = (
             self.windows, len(front), len(front) + len(self.span),
@@ -118,6 +124,12 @@ class _Conversation:
         count = min(count, self.history_turns)
         self.history = past[len(past) - count :]
 
+    def _make_room(self, tokens: int) -> None:
+        """Only so much history that the first new turn fits the budget."""
+        used = tokens + sum(t.tokens for t in self.system + self.history)
+        while self.history and used > self.budget:
+            used -= self.history.pop(0).tokens
+
 
 def format_windows(
     conversations: DataFrame,
@@ -131,8 +143,9 @@ def format_windows(
 
     Turns of a conversation come in the order of ``turn``, equal numbers by role and text, null
     numbers first; repeated rows are turns of their own. A null text or role is empty, rows
-    without ``conv_id`` are one conversation. A turn longer than the budget is whole in a window
-    of its own with the system turn. A task streams through a conversation and holds one window
+    without ``conv_id`` are one conversation. ``tokens`` is how many the formatted text has, with
+    marks, roles and escapes, in the tokenizer given. A turn that does not fit the budget beside
+    the system turn is whole in a window of its own with it, without history. A task streams through a conversation and holds one window
     of it. Other columns are ignored; no rows give no windows.
     """
     kind = conversations.schema["conv_id"].dataType.simpleString()
@@ -165,7 +178,7 @@ def format_windows(
                         rows.append((current, *last))
                     current = conv
                     state = _Conversation(budget, history_tokens, history_turns)
-                turn = _Turn(role, text, len(bpe.encode(text)[0]) + TURN_TOKENS)
+                turn = _Turn(role, text, len(bpe.encode("".join(written(role, text)))[0]))
                 if done := state.add(turn):
                     rows.append((conv, *done))
             yield _batch(rows, names, key, span)

@@ -5,6 +5,7 @@ import time
 
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from clickloom.llm import chat_windows as chat, mincut_html as pages
 
@@ -192,3 +193,18 @@ def test_windows_hold_every_turn_once(spark, budget):
         assert row["loss_chars"] == len(loss)
         assert row["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
     assert chat.read_back(chat.format_windows(frame.limit(0), BYTES)).count() == 0
+
+
+@pytest.mark.parametrize("budget", [60, 200, 1024])
+def test_tokens_are_those_of_the_formatted_text(spark, budget):
+    library = Tokenizer.from_file(BYTES)
+    count = lambda text: len(library.encode(text, add_special_tokens=False).ids)
+    rows = [*conversations(), *((200, turn, "user", "\\" * 40) for turn in range(30))]
+    rows += [(201, turn, "assistant", "a" if turn % 2 else "some words " * 90) for turn in range(20)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for row in chat.format_windows(frame, BYTES, budget).collect():
+        assert row["tokens"] == count(row["text"])
+        if row["tokens"] > budget:
+            assert row["turns"] - row["repeated"] == 1
+            turns = chat.read_turns(row["text"])
+            assert all(role == "system" for role, _ in turns[:-1])
