@@ -2,7 +2,7 @@
 
 A list is a log of changes: on a day a domain is blocked, allowed or removed. Changes of a domain
 become validity intervals, from their day to the day of the next change. A capture meets the
-intervals of its host and of all domains above it, and the most specific active one decides.
+intervals of its host and of all domains above it, the top-level domain included, and the most specific active one decides.
 
 The decision depends on host and day only, so captures are reduced to these first. Intervals are
 cut at months, and the as-of join is an equality on domain and month with a range inside: a host
@@ -35,6 +35,17 @@ def domains_of(host: Column) -> Column:
     )
 
 
+def asked_domains(host: Column) -> Column:
+    """All that an entry can name for a host: :func:`domains_of` and the last label alone."""
+    return F.array_union(domains_of(host), F.array(F.substring_index(host, ".", -1)))
+
+
+def entry_domain(domain: Column) -> Column:
+    """An entry's domain as hosts are written: lower case, without blanks around, a leading dot
+    or ``*.``, or a last dot."""
+    return F.regexp_replace(F.lower(F.trim(domain)), r"^(\*?\.)+|\.$", "")
+
+
 def _month(day: Column) -> Column:
     return (F.year(day) * 12 + F.month(day) - 1).cast("int")
 
@@ -42,12 +53,14 @@ def _month(day: Column) -> Column:
 def validity(changes: DataFrame) -> DataFrame:
     """``domain, action, valid_from, valid_to`` (exclusive, null if open) from a log with columns
     ``domain, action, listed_on``. Removals end an interval and begin none. Rows without domain,
-    day or known action are no changes; repeated ones count once."""
+    day or known action are no changes; repeated ones count once. Domains are as
+    :func:`entry_domain` writes them, and an entry is for a domain and all below it."""
     strength = F.create_map(*[F.lit(x) for pair in STRENGTH.items() for x in pair])
     by_day = (
         changes.where(F.col("action").isin(*STRENGTH))
-        .where("domain IS NOT NULL AND listed_on IS NOT NULL")
-        .groupBy(F.lower("domain").alias("domain"), F.col("listed_on").alias("valid_from"))
+        .withColumn("domain", entry_domain(F.col("domain")))
+        .where("domain <> '' AND listed_on IS NOT NULL")
+        .groupBy("domain", F.col("listed_on").alias("valid_from"))
         .agg(F.max_by("action", strength[F.col("action")]).alias("action"))
     )
     following = Window.partitionBy("domain").orderBy("valid_from")
@@ -74,7 +87,7 @@ def judge_captures(captures: DataFrame, changes: DataFrame) -> DataFrame:
         .distinct()
     )
     wanted = asked.select(
-        "host", "day", F.explode(domains_of(F.col("host"))).alias("domain")
+        "host", "day", F.explode(asked_domains(F.col("host"))).alias("domain")
     ).withColumn("month", _month(F.col("day")))
     # An open interval lasts to the last month that is asked for.
     last = asked.agg(F.max("day").alias("last")).scalar()

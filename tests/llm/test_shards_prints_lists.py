@@ -160,6 +160,31 @@ def test_entries_active_on_the_day(spark, url, day, domain, kept):
     assert [(row["domain"], row["kept"], row["page_id"]) for row in found] == [(domain, kept, 1)] * 2
 
 
+@pytest.mark.parametrize(
+    ("url", "domain", "kept"),
+    [
+        ("http://a.zip/", "zip", False),
+        ("http://x.a.zip", "zip", False),
+        ("http://good.zip", "good.zip", True),
+        ("http://zip/", "zip", False),
+        ("http://a.notzip", None, True),
+        ("http://www.last.org", "last.org", False),
+        ("http://first.org.", "first.org", False),
+        ("http://a.b.star.org", "star.org", False),
+        ("http://blank.org", "blank.org", False),
+        ("http://twice.org", "twice.org", False),
+    ],
+)
+def test_entries_as_lists_write_them(spark, url, domain, kept):
+    names = ["zip", "last.org.", ".first.org", "*.Star.org", " blank.org ", "twice.org", "", ".", "*."]
+    rows = [(name, "block", date(2024, 1, 1)) for name in names]
+    rows += [("good.zip.", "allow", date(2024, 1, 1)), ("*.twice.org", "allow", date(2024, 1, 1))]
+    changes = spark.createDataFrame(rows, "domain string, action string, listed_on date")
+    captures = spark.createDataFrame([(url, date(2024, 2, 2))], "url string, fetched_on date")
+    found = temporal_lists.judge_captures(captures, changes).collect()
+    assert [(row["domain"], row["kept"]) for row in found] == [(domain, kept)]
+
+
 def test_no_entries_and_no_captures(spark):
     changes = spark.createDataFrame(CHANGES, "domain string, action string, listed_on date")
     captures = spark.createDataFrame(
