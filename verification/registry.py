@@ -548,7 +548,7 @@ def csv_corrupt_scan(spark, sf):
 
 @query
 def medallion_audit(spark, sf):
-    """Counts of the audit document, read back from its JSON, and sizes of the file table."""
+    """Counts of the audit document, read back from its JSON."""
     lake = shared_folder(spark, "lake")
     with csv_files(clicks_raw(spark, sf)) as folder:
         medallion.run_medallion(
