@@ -17,16 +17,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.llm.byte_bpe import byte_bpe
-from clickloom.llm.common import map_rows, slices, text_of
+from clickloom.llm.common import kept, map_rows, slices, text_of
 
 WINDOW = 2048
 STEP = 32  # at most so many tokens between two places for a cut
 SENTENCE_CUT, HARD_CUT, SEQUENCE = 2.0, 8.0, 16.0  # costs, in tokens of padding
-BLOCK = 4096  # document ids that are packed together
+BLOCK = 4096  # documents that are packed together
 FLUSH = 2_000_000  # tokens after which a block is packed as far as it has come
+_NO_ID = -(1 << 63)
 
 
 def best_cuts(
@@ -137,27 +138,58 @@ class _Packer:
         return rows
 
 
+def _blocks(keys: DataFrame) -> DataFrame:
+    """``id, tie, block`` for the distinct keys: rows are numbered in order, BLOCK of them a block.
+
+    Keys are dealt by range and numbered in each range, and a range starts where the sum of those
+    before ends. Where ranges begin is of no effect."""
+    spark = keys.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = kept(
+        keys.groupBy("id", "tie")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange(parts, "id", "tie")
+        .withColumn("part", F.spark_partition_id()),
+        "ranges",
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("part")
+        .agg(F.sum("n").alias("n"))
+        .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    )
+    inside = (
+        Window.partitionBy("part").orderBy("id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    place = F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return ranged.join(F.broadcast(starts), "part").select(
+        "id", "tie", F.floor(place / BLOCK).alias("block")
+    )
+
+
 def pack_documents(
     docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW
 ) -> DataFrame:
     """Pieces of documents in sequences: ``doc_id, start, length, ids`` (binary: little-endian
     unsigned 32-bit integers), ``doc_tokens, sequence_id, offset``.
 
-    Documents of a range of ids are packed in the order of their ids (equal ids by text), so a
-    range needs one task at a time and results don't depend on the number of tasks, but for the
-    numbers of the sequences. A null or empty text is its end token alone. Rows without an id are
-    packed by their text's hash. Other columns are ignored; no rows give no pieces.
+    Documents are packed in the order of their ids (equal ids by text, rows without an id first, by
+    their text's hash), in blocks of about BLOCK of them however far apart the ids are, so a block
+    needs one task at a time and results don't depend on the number of tasks, but for the numbers of the sequences. A null or empty
+    text is its end token alone. Other columns are ignored; no rows give no pieces.
     """
-    block = F.coalesce(
-        F.floor(F.col("doc_id") / BLOCK),
-        -1 - F.pmod(F.xxhash64("text"), F.lit(BLOCK)),
+    rows = docs.select("doc_id", text_of().alias("text")).select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"),
+        F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(0).alias("tie"),
+        "doc_id",
+        "text",
     )
+    # Keys grow with the texts, so they are joined alike whatever the size.
     ordered = (
-        docs.select("doc_id", text_of().alias("text"))
-        .withColumn("block", block)
+        rows.join(_blocks(rows.select("id", "tie")).hint("merge"), ["id", "tie"])
+        .select("block", "doc_id", "text")
         .repartition("block")
         .sortWithinPartitions("block", "doc_id", "text")
-        .select("block", "doc_id", "text")
     )
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3

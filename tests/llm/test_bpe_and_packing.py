@@ -100,6 +100,27 @@ def test_cuts_cost_the_least(seed, monkeypatch):
     )
 
 
+def test_sparse_ids_are_packed_alike(docs, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 40)
+    texts = [f"{n} " + "A sentence of words. " * (n * 37 % 90) for n in range(100)]
+
+    def packed(ids):
+        rows = packing.pack_documents(docs(*zip(ids, texts, strict=True)), BYTES).collect()
+        number = {one: at for at, one in enumerate(ids)}
+        return sorted(
+            (number[r["doc_id"]], r["start"], r["length"], r["doc_tokens"], r["offset"]) for r in rows
+        ), {row["sequence_id"] for row in rows}, sum(row["length"] for row in rows)
+
+    dense, sequences, tokens = packed(range(100))
+    assert len(sequences) < tokens / 2048 + 3 * 11
+    for ids in ([n * 10**15 - 10**16 for n in range(100)], [2**n - 5 for n in range(40)] + [10**17 + n for n in range(60)]):
+        again, others, _ = packed(ids)
+        assert again == dense and len(others) == len(sequences)
+    without = packing.pack_documents(docs(*((None, text) for text in texts)), BYTES).collect()
+    assert sum(row["length"] for row in without) == tokens
+    assert len({row["sequence_id"] for row in without}) < tokens / 2048 + 3 * 11
+
+
 def test_pieces_give_back_every_document(docs, clashing):
     texts = [*ODD_TEXTS, *random_texts(60), "A sentence of several words. " * 900]
     rows = clashing(docs(*texts, (None, "no id"), (4, "again the fourth")))
