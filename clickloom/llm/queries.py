@@ -15,6 +15,7 @@ from clickloom.llm import (
     mincut_html,
     ngram_join,
     packing,
+    periodic_runs,
     repetition,
     temporal_lists,
 )
@@ -349,6 +350,50 @@ OP3_SQL = r"""
 """
 
 
+def plant_runs(docs: DataFrame) -> DataFrame:
+    """Texts by the rule of the query: of those whose id's checksum is a multiple of ten, the words
+    from some place on repeat with some period. The others are as they are."""
+    words = F.regexp_extract_all(F.col("text").cast("string"), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    repeated = F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.element_at(words, F.when(i <= a, i).otherwise(a + (i - 1 - a) % p + 1)),
+    )
+    text = F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return docs.withColumn("text", text)
+
+
+def digest_runs(found: DataFrame) -> DataFrame:
+    """The longest run of each text, and digests of all runs and of what is left of the text."""
+    # Least of negated length, start and period.
+    top = F.array_min(
+        F.transform(
+            "runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"])
+        )
+    )
+    line = lambda r: F.concat_ws(",", *(r[f].cast("string") for f in ("start", "length", "period")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("doc_id", "runs", "collapsed", top.alias("top"), lines.alias("lines")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        (-F.col("top.less")).alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(-1000 * F.col("top.less") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, some of which are made to repeat."""
+    docs = plant_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return digest_runs(periodic_runs.collapse_runs(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mincut_html": op1_mincut_html,
     "op2_hash_tree": op2_hash_tree,
@@ -360,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "op8_attention_mil": op8_attention_mil,
     "op9_packing": op9_packing,
     "op10_ngram_join": op10_ngram_join,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_temporal_lists": OP3_SQL,
