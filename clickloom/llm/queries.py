@@ -10,6 +10,7 @@ from clickloom.llm import (
     attention_mil,
     bpe_trie,
     chat_windows,
+    digest_merge,
     hash_tree,
     imatch,
     mincut_html,
@@ -350,6 +351,22 @@ OP3_SQL = r"""
 """
 
 
+def op11_digest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_merge.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+    WITH texts AS (
+        SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
+            AS text_sha256
+        FROM documents)
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept,
+        text_sha256
+    FROM texts WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+
 def plant_runs(docs: DataFrame) -> DataFrame:
     """Texts by the rule of the query: of those whose id's checksum is a multiple of ten, the words
     from some place on repeat with some period. The others are as they are."""
@@ -405,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "op8_attention_mil": op8_attention_mil,
     "op9_packing": op9_packing,
     "op10_ngram_join": op10_ngram_join,
+    "op11_digest_merge": op11_digest_merge,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -412,4 +430,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_suffix_repetition": OP4_SQL,
     "op5_imatch": _op5_sql(),
     "op10_ngram_join": OP10_SQL,
+    "op11_digest_merge": OP11_SQL,
 }

@@ -10,7 +10,7 @@ from tests.llm.test_ngram_join import components_by_hand
 TABLES = "documents pages benchmark labels conversations".split()
 KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
          "BOOLEAN": "boolean"}
-NATIVE = ("op2_hash_tree", "op3_temporal_lists", "op5_imatch")
+NATIVE = ("op2_hash_tree", "op3_temporal_lists", "op5_imatch", "op11_digest_merge")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
