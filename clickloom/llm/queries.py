@@ -370,17 +370,24 @@ OP11_SQL = r"""
 def plant_runs(docs: DataFrame) -> DataFrame:
     """Texts by the rule of the query: of those whose id's checksum is a multiple of ten, the words
     from some place on repeat with some period. The others are as they are."""
-    words = F.regexp_extract_all(F.col("text").cast("string"), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
     h = F.crc32(F.col("doc_id").cast("string"))
-    g, n = F.floor(h / 10), F.size(words)
-    a = (g % n).cast("int")
-    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    repeated = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.element_at(words, F.when(i <= a, i).otherwise(a + (i - 1 - a) % p + 1)),
+    words = F.regexp_extract_all(F.col("text").cast("string"), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    # The words are a column of their own, so that they are split once.
+    split = docs.select(
+        F.struct(*docs.columns).alias("whole"),
+        F.floor(h / 10).alias("g"),
+        F.when(h % 10 == 0, words).alias("words"),
+    )
+    n = F.size("words")
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    times = (F.ceil((n - a) / p)).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("words", a + 1, p), times))
+    line = F.array_join(F.concat(F.slice("words", 1, a), F.slice(repeated, 1, n - a)), " ")
+    text = F.when(n > 0, line).otherwise(F.col("whole.text"))
+    return split.select(
+        *((text if c == "text" else F.col(f"whole.{c}")).alias(c) for c in docs.columns)
     )
-    text = F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text"))
-    return docs.withColumn("text", text)
 
 
 def digest_runs(found: DataFrame) -> DataFrame:
