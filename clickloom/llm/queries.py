@@ -10,6 +10,7 @@ from clickloom.llm import (
     attention_mil,
     bpe_trie,
     chat_windows,
+    dialog_repair,
     digest_merge,
     hash_tree,
     imatch,
@@ -367,6 +368,28 @@ OP11_SQL = r"""
 """
 
 
+def damage(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """Conversations with faults by a checksum of their keys, and how often each row comes."""
+    named = {
+        c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")
+    }
+    kind = F.crc32(F.concat(named["conv_id"], F.lit(":"), named["turn"])) % 20
+    role = F.when(kind == 4, "user").otherwise(named["role"])
+    text = (
+        F.when(kind == 1, "")
+        .when(kind == 2, F.regexp_replace(named["text"], "[.!?]", ""))
+        .otherwise(named["text"])
+    )
+    return (
+        rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind")),
+        F.when(F.col("kind") == 0, 0).when(F.col("kind") == 3, 2).otherwise(1),
+    )
+
+
+def op12_dialog_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialog_repair.audit_conversations(*damage(table(spark, sf_dir, "conversations")))
+
+
 def plant_runs(docs: DataFrame) -> DataFrame:
     """Texts by the rule of the query: of those whose id's checksum is a multiple of ten, the words
     from some place on repeat with some period. The others are as they are."""
@@ -430,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_ngram_join": op10_ngram_join,
     "op11_digest_merge": op11_digest_merge,
+    "op12_dialog_repair": op12_dialog_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {

@@ -36,7 +36,7 @@ def test_native_plans_have_no_python(spark, small, name):
         assert unwanted not in plan
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_one_query_for_each_operator(number):
     assert sum(name.startswith(f"op{number}_") for name in queries.QUERIES) == 1
 
