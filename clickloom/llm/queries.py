@@ -256,7 +256,7 @@ def _op5_sql() -> str:
             SELECT i, edited, number, coalesce(size, 0) AS size,
                 printf('%02x', least(coalesce(size, 0), 255)::INT)
                     || substr(md5(coalesce(listed, '')), 1, {imatch.TOKEN - 2}) AS token
-            FROM (SELECT DISTINCT i, edited FROM codes) CROSS JOIN subsets
+            FROM (SELECT DISTINCT i, edited FROM chosen) CROSS JOIN subsets
                 LEFT JOIN chosen USING (i, edited, number)),
         prints AS (
             SELECT i, edited, coalesce(print, 'text ' || sha256(t)) AS print, tokens
