@@ -2,38 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import month_of, rate, weekday_name
 
 STAGES = ("view_sessions", "cart_after_view_sessions", "purchase_after_cart_sessions")
 
 
+def _days(since: str) -> Column:
+    """The days on which a session's next stage may come."""
+    return F.explode(F.sequence(F.to_date(since), F.to_date("last"))).alias("day")
+
+
+def _next_stage(events: DataFrame, kind: str, reached: DataFrame, since: str, name: str) -> DataFrame:
+    """The first event of a kind from the moment of the stage before on, per session.
+
+    Events meet their session by session and day, so one of very many events spreads over the days
+    of its life; and as minima per session need a shuffle after that anyway, adaptive skew handling
+    may also split what one day holds. Only minima leave a task.
+    """
+    at = F.col("event_time")
+    awaited = reached.select("user_session", since, "last", _days(since))
+    return (
+        events.where(F.col("event_type") == kind)
+        .withColumn("day", F.to_date(at))
+        .join(awaited, ["user_session", "day"])
+        .where(at >= F.col(since))
+        .groupBy("user_session")
+        .agg(F.min(at).alias(name), F.max("last").alias("last"))
+    )
+
+
 def funnel_sessions(events: DataFrame) -> DataFrame:
     """One row per session that has a view, from ``user_session, event_time, event_type``.
 
-    A session may be a bot with a large share of all events, so it is shrunk before it is
-    gathered. Of the views only the earliest matters, and of carts and purchases only the
-    distinct moments; each task merges its own rows, and those of one session spread over
-    all reducers by moment. Event times are whole seconds, so what is left of a session for
-    the windows is at most one row per second of its life, however many events it has.
+    A chain of minima: the first view of each session, the first cart from then on, the first
+    purchase from then on. Tasks merge their own rows before each shuffle, and no session is
+    gathered.
     """
     kind, at = F.col("event_type"), F.col("event_time")
-    moments = events.groupBy("user_session", F.when(kind != "view", at).alias("at")).agg(
-        F.min(F.when(kind == "view", at)).alias("view"),
-        F.bool_or(kind == "cart").alias("is_cart"),
-        F.bool_or(kind == "purchase").alias("is_purchase"),
+    viewed = (
+        events.groupBy("user_session")
+        .agg(F.min(F.when(kind == "view", at)).alias("view_time"), F.max(at).alias("last"))
+        .where(F.col("view_time").isNotNull())
     )
-    at = F.col("at")
-    cart = F.when(F.col("is_cart") & (at >= F.col("view_time")), at)
-    purchase = F.when(F.col("is_purchase") & (at >= F.col("cart_time")), at)
-    session = Window.partitionBy("user_session")
+    carted = _next_stage(events, "cart", viewed, "view_time", "cart_time")
+    bought = _next_stage(events, "purchase", carted, "cart_time", "purchase_time")
     return (
-        moments.withColumn("view_time", F.min("view").over(session))
-        .where(F.col("view_time").isNotNull())
-        .withColumn("cart_time", F.min(cart).over(session))
-        .groupBy("user_session", "view_time", "cart_time")
-        .agg(F.min(purchase).alias("purchase_time"))
+        viewed.drop("last")
+        .join(carted.drop("last"), "user_session", "left")
+        .join(bought.drop("last"), "user_session", "left")
         .withColumn("event_month", month_of(F.col("view_time")))
     )
 

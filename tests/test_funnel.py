@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -43,7 +44,7 @@ def seconds(time):
     st.lists(
         st.tuples(
             st.sampled_from("abc"),
-            st.integers(0, 6).map(lambda n: n * 1800),
+            st.integers(0, 9).map(lambda n: n * 14400),
             st.sampled_from(["view", "cart", "purchase", "remove_from_cart"]),
         ),
         min_size=1,
@@ -126,8 +127,36 @@ def test_hot_session_is_shrunk_before_it_is_gathered(spark):
     assert (bot["view_time"], bot["cart_time"]) == (view, cart)
 
 
-def test_plan_gathers_sessions_once_after_merging(spark):
+def test_a_session_of_ten_million_moments_spreads_over_days(spark):
+    """They meet the session's row in 117 groups, and none has more of them than a day has seconds."""
+    n = 10_000_000
+    events = spark.range(n, numPartitions=8).select(
+        F.lit("bot").alias("user_session"),
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id")).alias("event_time"),
+        F.when(F.col("id") == 7_000_000, "view")
+        .when(F.col("id") % 2 == 0, "purchase")
+        .otherwise("cart")
+        .alias("event_type"),
+    )
+    days = events.groupBy(F.to_date("event_time")).count().agg(F.count("*"), F.max("count")).first()
+    assert tuple(days) == (117, 86_400)
+    found = funnel.funnel_sessions(events).first()
+    at = [int(found[c].timestamp()) - 1_600_000_000 for c in ("view_time", "cart_time", "purchase_time")]
+    assert at == [7_000_000, 7_000_001, 7_000_002]
+
+
+def test_plan_has_no_window_and_meets_sessions_by_day(spark):
     plan = sessions(spark, [("a", 0, "view")])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "ObjectHashAggregate" not in plan
-    assert "collect_list" not in plan
+    assert "Window" not in plan and "collect_" not in plan and "ObjectHashAggregate" not in plan
+    meetings = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[(.*?)\], \[.*?\], Inner", plan)
+    assert len(meetings) >= 2 and all("user_session" in keys and "day" in keys for keys in meetings)
+
+
+def test_a_view_after_the_last_event_and_far_days(spark):
+    day = 86_400
+    found = sessions(spark, [
+        ("a", 0, "cart"), ("a", 40 * day, "view"),
+        ("b", 0, "view"), ("b", 400 * day, "cart"), ("b", 800 * day, "purchase"), ("b", 2, "purchase"),
+    ])
+    times = {r["user_session"]: [seconds(r[c]) for c in ("view_time", "cart_time", "purchase_time")] for r in found.collect()}
+    assert times == {"a": [40 * day, None, None], "b": [0, 400 * day, 800 * day]}
