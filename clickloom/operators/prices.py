@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.functions import is_finite
+from clickloom.functions import is_finite, rate
 from clickloom.operators.parse import intact
 
 QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
@@ -25,6 +25,66 @@ def approximate_quantiles(prices: DataFrame, relative_error: float = 0.01) -> Da
     )
 
 
+SKETCH_SIZE = 800  # rank error of about a third of a percent
+
+
+def price_sketches(parsed: DataFrame, *keys: str) -> DataFrame:
+    """Count, least, greatest and a KLL sketch (binary) of the valid prices, per key (as
+    ``source_file``). Sketches of new files can be merged with stored ones."""
+    amounts = intact(parsed).where(is_finite(F.col("amount")))
+    return amounts.groupBy(*keys).agg(
+        F.count("amount").alias("price_rows"),
+        F.min("amount").alias("min"),
+        F.max("amount").alias("max"),
+        F.kll_sketch_agg_double("amount", F.lit(SKETCH_SIZE)).alias("sketch"),
+    )
+
+
+def sketch_quantiles(sketches: DataFrame) -> DataFrame:
+    """The row of :func:`approximate_quantiles` from stored sketches; the ends are exact. Without
+    prices all but the count are NULL."""
+    inner = [name for name, p in QUARTILES.items() if 0 < p < 1]
+    merged = sketches.agg(
+        F.coalesce(F.sum("price_rows"), F.lit(0)).alias("valid_numeric_count"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+    )
+    some = F.col("valid_numeric_count") > 0
+    return merged.select(
+        "valid_numeric_count",
+        "min",
+        *[
+            F.when(some, F.kll_sketch_get_quantile_double("sketch", F.lit(QUARTILES[name]))).alias(name)
+            for name in inner
+        ],
+        "max",
+    )
+
+
+def quantile_rank_errors(prices: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """``quantile, p, price_rows, rank_error`` for each value of a row of quantiles: how far ``p``
+    lies from the ranks that the value's equals take up, as a share of all prices. Exact counts."""
+    row = _as_value(quantiles)
+    amount = F.col("amount")
+    counts = prices.agg(
+        F.count(amount).alias("price_rows"),
+        *[F.count_if(amount < row[name]).alias(f"below_{name}") for name in QUARTILES],
+        *[F.count_if(amount <= row[name]).alias(f"upto_{name}") for name in QUARTILES],
+    )
+
+    def line(name: str, p: float) -> Column:
+        low, high = (rate(F.col(f"{side}_{name}"), F.col("price_rows")) for side in ("below", "upto"))
+        return F.struct(
+            F.lit(name).alias("quantile"),
+            F.lit(p).alias("p"),
+            F.col("price_rows"),
+            F.greatest(low - p, p - high, F.lit(0.0)).alias("rank_error"),
+        )
+
+    return counts.select(F.inline(F.array(*[line(*each) for each in QUARTILES.items()])))
+
+
 def price_counts(prices: DataFrame) -> DataFrame:
     """Distinct prices and how often each comes."""
     return prices.groupBy("amount").agg(F.count(F.lit(1)).alias("n"))

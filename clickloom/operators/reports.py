@@ -20,16 +20,24 @@ def inventory_measures() -> Measures:
     return {**rows, **period_measures(), **type_measures()}
 
 
-def file_inventory(per_file: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
-    """Rows, period and events by type per file, from measures per ``source_file`` that
-    include those above; ``sizes`` adds ``file_bytes``."""
+def file_inventory(
+    per_file: DataFrame, counts: DataFrame, sizes: DataFrame | None = None
+) -> DataFrame:
+    """Rows, period, events by known type, and ``events_by_type``, a map of all types, per file.
+
+    ``per_file`` has the measures above per ``source_file``, ``counts`` the events by
+    ``source_file, event_type``; ``sizes`` adds ``file_bytes``."""
+    entries = F.array_sort(F.collect_list(F.struct("event_type", "events")))
+    by_type = counts.groupBy("source_file").agg(F.map_from_entries(entries).alias("events_by_type"))
+    none = F.create_map().cast("map<string,bigint>")
     inventory = per_file.select(
         "source_file",
         "record_count",
         F.col("period_min").alias("from_utc"),
         F.col("period_max").alias("to_utc"),
         *type_measures(),
-    )
+    ).join(by_type, "source_file", "left")
+    inventory = inventory.withColumn("events_by_type", F.coalesce("events_by_type", none))
     return inventory if sizes is None else inventory.join(sizes, "source_file", "left")
 
 

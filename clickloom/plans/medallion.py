@@ -12,11 +12,15 @@ from clickloom.operators.parse import parse_events
 from clickloom.operators.purchases import purchase_cube
 from clickloom.operators.quality import silver_audit
 from clickloom.operators.silver import silver_events
+from clickloom.schema import GOLD_ORDER, GOLD_TABLES
 from clickloom.session import use_utc
 from clickloom.sources.events_csv import check_inputs, input_files, staged_events
 from clickloom.sources.lake import (
     guard_raw,
+    read_table,
+    rewrite_months,
     staged,
+    write_months,
     write_silver,
     write_summary,
     write_table,
@@ -24,17 +28,46 @@ from clickloom.sources.lake import (
 
 
 def write_gold(silver: DataFrame, path: str) -> dict[str, DataFrame]:
-    """The five tables, from one pass over sessions and one over purchases."""
+    """The five tables, from one pass over sessions and one over purchases. All with a month have
+    a folder for each."""
+
+    def write(name: str, table: DataFrame) -> DataFrame:
+        if name in GOLD_ORDER:
+            return write_months(table, f"{path}/{name}", *GOLD_ORDER[name])
+        return write_table(table, f"{path}/{name}")
+
     finest = "funnel_by_utc_weekday_hour"
-    by_weekday_hour = write_table(funnel_base(silver), f"{path}/{finest}")
+    by_weekday_hour = write(finest, funnel_base(silver))
     with staged(purchase_cube(silver), "purchases") as cube:
         tables = gold_tables(by_weekday_hour, cube)
         return {
-            name: table if name == finest else write_table(table, f"{path}/{name}")
-            for name, table in tables.items()
+            name: table if name == finest else write(name, table) for name, table in tables.items()
         }
 
 
+def read_gold(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables as a dashboard reads them, without a look at Silver."""
+    return {name: read_table(spark, f"{path}/{name}") for name in GOLD_TABLES}
+
+
+def rerun_months(
+    spark: SparkSession,
+    paths: Sequence[str],
+    silver_path: str,
+    gold_path: str,
+    months: Sequence[str],
+) -> DataFrame:
+    """Write some months of Silver again from the files given (see :func:`rewrite_months`), and Gold
+    from the whole of Silver, as sessions may go on over a month's end."""
+    use_utc(spark)
+    guard_raw(silver_path, gold_path)
+    check_inputs(spark, paths)
+    with staged_events(spark, paths) as bronze:
+        silver = rewrite_months(silver_events(bronze), silver_path, months)
+    write_gold(silver, gold_path)
+    return silver
+
+
 def run_medallion(
     spark: SparkSession,
     paths: Sequence[str],

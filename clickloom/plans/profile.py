@@ -41,10 +41,9 @@ def profile_tables(
     )
     keep("quality", quality.combine_quality(per_file))
     keep("file_overview", per_file.select("source_file", *quality.file_measures()))
-    keep("file_inventory", reports.file_inventory(per_file, sizes))
-
     cube = keep("activity", frequency.activity_cube(parsed))
-    keep("event_counts_by_file", frequency.cube_event_counts(cube, "source_file"))
+    by_file = keep("event_counts_by_file", frequency.cube_event_counts(cube, "source_file"))
+    keep("file_inventory", reports.file_inventory(per_file, by_file, sizes))
     keep("event_counts", frequency.cube_event_counts(cube))
     per_hour = keep("events_per_hour", frequency.cube_events_per_hour(cube))
     keep("events_per_hour_of_day", frequency.events_per_hour_of_day(per_hour))
@@ -60,7 +59,8 @@ def profile_tables(
     keep("duplicates", duplicate_summary(bronze))
 
     amounts = prices.valid_prices(parsed)
-    quartiles = keep("price_quartiles", prices.approximate_quantiles(amounts))
+    sketches = keep("price_sketches", prices.price_sketches(parsed, "source_file"))
+    quartiles = keep("price_quartiles", prices.sketch_quantiles(sketches))
     keep("prices", prices.price_summary(amounts, quartiles))
 
     keep("top_categories", purchases.top_purchase_categories(parsed))

@@ -50,7 +50,7 @@ def fit_purchase_model(train: DataFrame, weights: dict) -> PipelineModel:
     # Iterations, regularisation and threshold of the model.
     regression = LogisticRegression(
         maxIter=40,
-        regParam=0.05,
+        regParam=REGULARIZATION,
         elasticNetParam=0.0,
         threshold=0.5,
         featuresCol="features",
@@ -60,6 +60,33 @@ def fit_purchase_model(train: DataFrame, weights: dict) -> PipelineModel:
     return Pipeline(stages=[assemble, regression]).fit(weighted)
 
 
+REGULARIZATION = 0.05  # fixed value of the model
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """The whole fitted pipeline, features in their order included."""
+    guard_raw(path)
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def linear_terms(model: PipelineModel) -> tuple[dict[str, float], float]:
+    """Coefficients by the feature that the pipeline's own assembler feeds them, and intercept."""
+    assemble, regression = model.stages
+    values = regression.coefficients.toArray().tolist()
+    return dict(zip(assemble.getInputCols(), values, strict=True)), float(regression.intercept)
+
+
+def fit_certificate(train: DataFrame, model: PipelineModel, weights: dict) -> DataFrame:
+    """Slopes of the loss at the model's coefficients, see :func:`scoring.loss_gradient`."""
+    terms, intercept = linear_terms(model)
+    by_class = {1.0: weights["positive_weight"], 0.0: weights["negative_weight"]}
+    return scoring.loss_gradient(train, terms, intercept, by_class, REGULARIZATION)
+
+
 def score(model: PipelineModel, examples: DataFrame) -> DataFrame:
     return model.transform(examples).select(
         "label",
@@ -70,10 +97,8 @@ def score(model: PipelineModel, examples: DataFrame) -> DataFrame:
 
 
 def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    values = model.stages[-1].coefficients.toArray().tolist()
-    return spark.createDataFrame(
-        list(zip(FEATURES, values)), "feature string, coefficient double"
-    )
+    terms, _ = linear_terms(model)
+    return spark.createDataFrame(list(terms.items()), "feature string, coefficient double")
 
 
 def evaluate(scored: DataFrame) -> dict[str, DataFrame | float]:
@@ -158,7 +183,7 @@ def train_purchase_model(
         model, result = train_and_evaluate_months(
             examples, train_month, test_month, sample_percent
         )
-        model.write().overwrite().save(model_path)
+        save_model(model, model_path)
         document = {
             "generated_at_utc": datetime.now(timezone.utc).isoformat(),
             "engine": {"name": "Spark MLlib", "spark_version": spark.version},

@@ -49,6 +49,13 @@ FEATURES = (
 
 RAW_SCHEMA = ", ".join(f"{name} string" for name in (*RAW_COLUMNS, CORRUPT))
 BRONZE_COLUMNS = (*RAW_COLUMNS, CORRUPT, "source_file")
+# Gold tables, and what their rows are sorted by within a month; those without month are one table.
+GOLD_ORDER = {
+    "funnel_by_month": (),
+    "funnel_by_utc_weekday_hour": ("spark_weekday_sunday_1", "utc_hour"),
+    "purchases_by_category_day": ("category_code", "purchase_date_utc"),
+    "purchases_by_utc_time": ("purchase_date_utc", "utc_hour"),
+}
 GOLD_TABLES = (
     "funnel_by_month",
     "funnel_by_utc_weekday_hour",

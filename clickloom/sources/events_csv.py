@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from contextlib import ExitStack, contextmanager
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.schema import BRONZE_COLUMNS, CORRUPT, RAW_SCHEMA
-from clickloom.sources.lake import staged
+from clickloom.session import shared_folder
 
 
 def _file_name() -> Column:
@@ -32,8 +32,9 @@ def check_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     if not paths:
         raise ValueError("no input path given")
     files = input_files(spark, paths)
-    # The listing has empty files too, the scan of names and sizes skips them.
-    listed = spark.read.format("binaryFile").load(list(paths)).inputFiles()
+    # The listing has empty files too, the scan of names and sizes skips them. The listing is
+    # counted where it is, in the scan's file index.
+    listed = spark.read.format("binaryFile").load(list(paths))._jdf.inputFiles()
     if len(listed) != files.count():
         raise ValueError(f"empty input files among {list(paths)}")
     repeated = files.groupBy("source_file").count().where("count > 1").first()
@@ -41,26 +42,30 @@ def check_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
         raise ValueError(f"input files with equal names: {repeated['source_file']}")
 
 
-@contextmanager
-def exact_names(spark: SparkSession) -> Iterator[None]:
-    """The scan compares header names as the session compares column names, so for a header of
-    exactly the nine names the session has to tell case apart while the scan is planned."""
-    before = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", before)
+def exact_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings that tells case apart in names. The scan compares
+    header names as its session compares column names, and other queries of the caller's session
+    have to go on as they are meanwhile."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.caseSensitive", "true")
+    return own
 
 
 @contextmanager
 def staged_events(spark: SparkSession, paths: Sequence[str]) -> Iterator[DataFrame]:
     """All rows of the files, parsed once into the shared folder. A file with another header,
-    whichever of them it is, ends the job."""
-    with ExitStack() as stack:
-        with exact_names(spark):
-            rows = stack.enter_context(staged(read_events(spark, paths), "bronze"))
+    whichever of them it is, ends the job. The table is emptied at the end."""
+    path = shared_folder(spark, "bronze")
+    parsed = read_events(exact_session(spark), paths)
+    parsed.write.parquet(path)
+    rows = spark.read.schema(parsed.schema).parquet(path)
+    try:
         yield rows
+    finally:
+        rows.limit(0).write.mode("overwrite").parquet(path)
 
 
 def read_events(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -68,7 +73,7 @@ def read_events(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     Column pruning stays off: with it the reader would parse only the columns a query names
     and miss bad lines. ``enforceSchema=false`` makes the scan fail on another header, in any of
-    the files; with :func:`exact_names` on names in other case too.
+    the files; in an :func:`exact_session` on names in other case too.
     """
     rows = (
         spark.read.schema(RAW_SCHEMA)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.session import shared_folder
 
@@ -33,16 +33,46 @@ def staged(frame: DataFrame, purpose: str) -> Iterator[DataFrame]:
         frame.limit(0).write.mode("overwrite").parquet(path)
 
 
+def write_months(table: DataFrame, path: str, *order: str) -> DataFrame:
+    """Overwrite a table with a folder for each ``event_month``, rows in order in each file, so that
+    readers skip months by folder and the rest by file statistics.
+
+    Rebalancing by month keeps a task from writing a file for every month, and splits large
+    months over many tasks."""
+    guard_raw(path)
+    dealt = table.hint("rebalance", "event_month")
+    if order:
+        dealt = dealt.sortWithinPartitions("event_month", *order)
+    dealt.write.mode("overwrite").partitionBy("event_month").parquet(path)
+    return read_back(table, path)
+
+
 def write_silver(silver: DataFrame, path: str) -> DataFrame:
-    """Overwrite by month. Rebalancing by month keeps a task from writing a file for every
-    month, and splits large months over many tasks."""
+    return write_months(silver, path)
+
+
+def rewrite_months(silver: DataFrame, path: str, months: Sequence[str]) -> DataFrame:
+    """Replace some months of Silver and leave the files of all others as they are.
+
+    Copies of a row have one event time, hence one month, but may lie in files of any month: the
+    rows given have to come from all files that may hold events of these months, else a month loses
+    what only other files had, and its kept file names change. A month without rows is refused,
+    as the write would leave its old rows."""
     guard_raw(path)
-    (
-        silver.hint("rebalance", "event_month")
-        .write.mode("overwrite")
-        .partitionBy("event_month")
-        .parquet(path)
-    )
+    if not months:
+        raise ValueError("no month to write again")
+    chosen = silver.where(F.col("event_month").isin(*months))
+    with staged(chosen, "months") as rows:
+        found = {row["event_month"] for row in rows.select("event_month").distinct().collect()}
+        if absent := sorted(set(months) - found):
+            raise ValueError(f"no rows for {absent}")
+        (
+            rows.hint("rebalance", "event_month")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_month")
+            .parquet(path)
+        )
     return read_back(silver, path)
 
 

@@ -43,6 +43,48 @@ def test_approximate_ranks_are_within_one_percent(spark):
         assert abs(found[name] - p * n) <= 0.01 * n + 1
 
 
+def sketch_rows(spark, n):
+    """Prices of three files, one with a price that a third of all rows has."""
+    return spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7.5D ELSE CAST(pmod(id * 7919, 20000) AS DOUBLE) END AS amount",
+        "CAST(NULL AS STRING) AS _corrupt_record",
+        "concat('f', id % 7 % 3) AS source_file",
+    )
+
+
+def test_merged_sketches_are_near_by_rank(spark, tmp_path):
+    rows = sketch_rows(spark, 60_000)
+    path = str(tmp_path / "sketches")
+    prices.price_sketches(rows.where("source_file < 'f2'"), "source_file").write.parquet(path)
+    prices.price_sketches(rows.where("source_file = 'f2'"), "source_file").write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 3 and stored.schema["sketch"].dataType.simpleString() == "binary"
+    found = prices.sketch_quantiles(stored)
+    amounts = prices.valid_prices(rows)
+    exact = prices.exact_quantiles(amounts).first()
+    row = found.first()
+    assert [row[c] for c in ("valid_numeric_count", "min", "max")] == [
+        exact[c] for c in ("valid_numeric_count", "min", "max")
+    ]
+    errors = {r["quantile"]: r["rank_error"] for r in prices.quantile_rank_errors(amounts, found).collect()}
+    assert set(errors) == set(prices.QUARTILES) and max(errors.values()) <= 0.01
+    assert errors["min"] == errors["max"] == 0.0
+
+
+def test_rank_errors_are_exact(spark):
+    amounts = frame(spark, [1, 2, 3, 4, 5, 6, 7, 8, 9, 10])
+    wrong = spark.createDataFrame([(1.0, 1.0, 5.0, 9.5, 11.0)], "min double, q1 double, median double, q3 double, max double")
+    errors = {r["quantile"]: round(r["rank_error"], 9) for r in prices.quantile_rank_errors(amounts, wrong).collect()}
+    assert errors == {"min": 0.0, "q1": 0.15, "median": 0.0, "q3": 0.15, "max": 0.0}
+
+
+def test_sketches_without_prices(spark):
+    nothing = prices.price_sketches(sketch_rows(spark, 0), "source_file")
+    found = prices.price_summary(frame(spark, []), prices.sketch_quantiles(nothing)).first()
+    assert (found["valid_numeric_count"], found["iqr_outlier_candidate_count"]) == (0, 0)
+    assert found["median"] is None and found["max"] is None
+
+
 @settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )

@@ -134,7 +134,9 @@ def test_measures_of_files_add_up(bronze):
     combined = quality.combine_quality(quality.quality(rows, "source_file")).first()
     assert combined.asDict() == quality.quality(rows).first().asDict()
     per_file = quality.quality(rows, "source_file", measures=reports.inventory_measures())
-    inventory = {r["source_file"]: r for r in reports.file_inventory(per_file).collect()}
+    counts = quality.event_counts(rows, "source_file")
+    inventory = {r["source_file"]: r for r in reports.file_inventory(per_file, counts).collect()}
+    assert inventory["autumn.csv"]["events_by_type"] == {"purchase": 1, "view": 1}
     assert inventory["autumn.csv"]["record_count"] == 2
     assert inventory["autumn.csv"]["purchase_events"] == 1
     assert inventory["spring.csv"]["view_events"] == 0

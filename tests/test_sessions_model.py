@@ -1,4 +1,6 @@
+import hashlib
 import math
+import random
 from datetime import datetime
 
 import pytest
@@ -296,3 +298,95 @@ def test_exact_areas_by_hand(spark):
     assert found["pr_auc"] == pytest.approx(sum(steps))
     assert scoring.score_areas(rows.where("label = 0")).first()["roc_auc"] is None
     assert scoring.score_areas(rows.limit(0)).first()["pr_auc"] is None
+
+
+def example_rows(spark):
+    draw = random.Random(3)
+    rows = []
+    for _ in range(300):
+        values = [draw.random() * 3, 40 + draw.random() * 60, 2.0]
+        rows.append((float(values[0] + draw.random() * 2 > 2.4), *values))
+    return spark.createDataFrame(rows, "label double, a double, b double, c double"), rows
+
+
+def loss_by_hand(rows, coefficients, intercept, weights, regularization):
+    """In units of the weighted standard deviations; the intercept is free."""
+    w = [weights[row[0]] for row in rows]
+    total = sum(w)
+    value = 0.0
+    for row, weight in zip(rows, w):
+        margin = intercept + sum(b * x for b, x in zip(coefficients, row[1:]))
+        value += weight * (math.log1p(math.exp(-margin)) + (1 - row[0]) * margin)
+    value /= total
+    for j, coefficient in enumerate(coefficients, 1):
+        mean = sum(weight * row[j] for row, weight in zip(rows, w)) / total
+        spread = sum(weight * (row[j] - mean) ** 2 for row, weight in zip(rows, w))
+        deviation = math.sqrt(spread / (total - sum(x * x for x in w) / total))
+        value += regularization / 2 * (coefficient * deviation) ** 2
+    return value
+
+
+def test_gradient_is_the_losss(spark):
+    frame, rows = example_rows(spark)
+    weights, at = {1.0: 0.8, 0.0: 1.7}, [0.4, -0.02, 0.0]
+    found = {r["term"]: r["gradient"] for r in scoring.loss_gradient(
+        frame, dict(zip("abc", at)), 0.3, weights, 0.05).collect()}
+    total = sum(weights[row[0]] for row in rows)
+    for j, name in enumerate("ab"):
+        up, down = list(at), list(at)
+        up[j] += 1e-6
+        down[j] -= 1e-6
+        slope = (loss_by_hand(rows, up, 0.3, weights, 0.05) - loss_by_hand(rows, down, 0.3, weights, 0.05)) / 2e-6
+        w = [weights[row[0]] for row in rows]
+        mean = sum(x * row[j + 1] for row, x in zip(rows, w)) / total
+        spread = sum(x * (row[j + 1] - mean) ** 2 for row, x in zip(rows, w))
+        deviation = math.sqrt(spread / (total - sum(x * x for x in w) / total))
+        assert found[name] == pytest.approx(slope / deviation, rel=1e-4)
+    slope = (loss_by_hand(rows, at, 0.3 + 1e-6, weights, 0.05) - loss_by_hand(rows, at, 0.3 - 1e-6, weights, 0.05)) / 2e-6
+    assert found["(intercept)"] == pytest.approx(slope, rel=1e-4)
+    assert found["c"] == 0.0
+    none = scoring.loss_gradient(frame.limit(0), dict(zip("abc", at)), 0.3, weights, 0.05).collect()
+    assert [r["gradient"] for r in none] == [None] * 4
+
+
+def planted_examples(spark):
+    draw = random.Random(9)
+    rows = []
+    for _ in range(400):
+        values = [draw.random() for _ in FEATURES]
+        rows.append((float(values[0] + 0.3 * draw.random() > 0.6), *values))
+    return spark.createDataFrame(rows, "label double, " + ", ".join(f"{f} double" for f in FEATURES))
+
+
+def test_a_fit_is_stationary_and_a_moved_one_is_not(spark):
+    train = planted_examples(spark)
+    weights = purchase_model.checked_weights(train, "train")
+    model = purchase_model.fit_purchase_model(train, weights)
+    slopes = purchase_model.fit_certificate(train, model, weights).collect()
+    assert len(slopes) == 11 and max(abs(r["gradient"]) for r in slopes) < 1e-4
+    terms, intercept = purchase_model.linear_terms(model)
+    moved = {**terms, FEATURES[0]: terms[FEATURES[0]] + 0.5}
+    by_class = {1.0: weights["positive_weight"], 0.0: weights["negative_weight"]}
+    off = scoring.loss_gradient(train, moved, intercept, by_class, purchase_model.REGULARIZATION)
+    assert max(abs(r["gradient"]) for r in off.collect()) > 1e-2
+
+
+def test_a_loaded_model_scores_alike(spark, tmp_path):
+    train = planted_examples(spark)
+    weights = purchase_model.checked_weights(train, "train")
+    model = purchase_model.fit_purchase_model(train, weights)
+    path = str(tmp_path / "model")
+    purchase_model.save_model(model, path)
+    loaded = purchase_model.load_model(path)
+    assert purchase_model.linear_terms(loaded) == purchase_model.linear_terms(model)
+    order = lambda m: sorted(tuple(r)[:2] + (r["probability"],) for r in purchase_model.score(m, train).collect())
+    assert order(loaded) == order(model)
+    with pytest.raises(ValueError, match="raw"):
+        purchase_model.save_model(model, str(tmp_path / "raw" / "model"))
+
+
+def test_sample_is_the_same_in_any_engine(spark):
+    ids = [f"s-{n}" for n in range(500)]
+    rows = spark.createDataFrame([(i,) for i in ids], "user_session string")
+    found = {r[0] for r in sessions.sample_sessions(rows, 20).collect()}
+    assert found == {i for i in ids if int(hashlib.md5(i.encode()).hexdigest()[:8], 16) % 100 < 20}

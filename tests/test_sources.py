@@ -4,7 +4,7 @@ from clickloom.operators.parse import parse_events
 from clickloom.operators.quality import quality
 from clickloom.schema import CORRUPT, RAW_COLUMNS
 from clickloom.session import shared_folder
-from clickloom.sources import lake
+from clickloom.sources import events_csv, lake
 from clickloom.sources.events_csv import check_inputs, input_files, read_events, staged_events
 
 GOOD = "2022-07-09 18:05:00 UTC,cart,910,64,sport.ball,kicker,14.95,5,visit-7"
@@ -63,7 +63,31 @@ def test_other_headers_are_refused_in_any_file(spark, csv_file, header, name):
     paths = [csv_file("m.csv", [GOOD]), csv_file(name, [GOOD], header=header)]
     with pytest.raises(Exception, match="header|Header"), staged_events(spark, paths):
         pass
-    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
+def test_the_callers_session_stays_as_it_is(spark, csv_file, monkeypatch):
+    """Other queries of the caller's session see no change of the case rule while files are
+    staged, and the session of the scan has the caller's settings otherwise."""
+    seen = []
+
+    def watched(session, paths):
+        seen.append(session.conf.get("spark.sql.caseSensitive"))
+        seen.append(session.conf.get("spark.sql.shuffle.partitions"))
+        seen.append(spark.conf.get("spark.sql.caseSensitive"))
+        seen.append(spark.range(1).select("ID").count())
+        return read_events(session, paths)
+
+    monkeypatch.setattr(events_csv, "read_events", watched)
+    with staged_events(spark, [csv_file("m.csv", [GOOD])]) as rows:
+        assert rows.select("BRAND").first()[0] == "kicker"
+        assert rows.sparkSession is spark
+    assert seen == ["true", spark.conf.get("spark.sql.shuffle.partitions"), "false", 1]
+
+
+def test_staged_events_are_freed(spark, csv_file):
+    with staged_events(spark, [csv_file("m.csv", [GOOD])]) as rows:
+        path = rows.inputFiles()[0].rsplit("/", 1)[0]
+    assert spark.read.schema(rows.schema).parquet(path).count() == 0
 
 
 def test_exact_headers_are_staged(spark, csv_file):
@@ -116,6 +140,37 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark, "x").startswith(f"{root}/clickloom-x-")
 
 
+def month_files(table):
+    found = table.select("event_month", "_metadata.file_path").distinct().collect()
+    return {m: sorted(r[1] for r in found if r[0] == m) for m in {r[0] for r in found}}
+
+
+def test_a_month_is_written_again_and_the_others_stay(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    table = spark.range(90).selectExpr("id", "concat('2019-1', id % 3) AS event_month")
+    before = month_files(lake.write_silver(table, path))
+    changed = table.where("id >= 30").selectExpr("-id AS id", "event_month")
+    after = lake.rewrite_months(changed, path, ["2019-11"])
+    assert dict(after.groupBy("event_month").count().collect()) == {"2019-10": 30, "2019-11": 20, "2019-12": 30}
+    assert after.where("event_month = '2019-11' AND id > 0").count() == 0
+    files = month_files(after)
+    assert files["2019-11"] != before.pop("2019-11")
+    assert {m: files[m] for m in before} == before
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_months_without_rows_or_none_are_refused(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    table = spark.range(4).selectExpr("id", "'2019-10' AS event_month")
+    lake.write_silver(table, path)
+    for months, said in ((["2019-10", "2019-11"], "2019-11"), ([], "no month")):
+        with pytest.raises(ValueError, match=said):
+            lake.rewrite_months(table, path, months)
+    with pytest.raises(ValueError, match="raw"):
+        lake.rewrite_months(table, f"{tmp_path}/raw/silver", ["2019-10"])
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_small_tables_are_one_file_and_months_are_folders(spark, tmp_path):
     table = spark.range(100).selectExpr(
         "id", "concat('2019-1', id % 2) AS event_month"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.schema import EVENT_TYPES, RAW_COLUMNS, WEEKDAY_NAMES_ES
+from clickloom.schema import EVENT_TYPES, RAW_COLUMNS, SEMANTIC_TYPES, WEEKDAY_NAMES_ES
 from verification import registry
 
 _TYPES = ", ".join(f"'{name}'" for name in EVENT_TYPES)
@@ -243,6 +243,31 @@ def _day_name(day: str) -> str:
     return f"CASE {day} {cases} END"
 
 
+# Rows as they come back from files: what follows an unclosed quote is text of its column.
+_CSV_ROWS = f"""
+csv_rows AS (
+  SELECT {", ".join(RAW_COLUMNS[:4])},
+    CASE WHEN _corrupt_record IS NULL THEN category_code ELSE 'rest of line' END AS category_code,
+    {", ".join(f"CASE WHEN _corrupt_record IS NULL THEN {name} END AS {name}" for name in RAW_COLUMNS[5:])},
+    _corrupt_record, source_file
+  FROM raw_rows
+)"""
+_WITH_CSV = "WITH " + ",".join(
+    (_CLICKS, _CSV_ROWS, _PARSED.replace("FROM raw_rows", "FROM csv_rows"), _FUNNELS, _PURCHASES,
+     _EXAMPLES)) + "\n"
+_NAMED = "CASE source_file " + " ".join(
+    f"WHEN '{source}' THEN '{name}'" for source, name in registry.FILE_NAMES.items()) + " END"
+# A line has eight commas and a line feed, and a quote where it is broken; a header comes first.
+_BYTES = (
+    "CAST(sum(9 + CASE WHEN _corrupt_record IS NULL THEN 0 ELSE 1 END + "
+    + " + ".join(f"strlen(coalesce({name}, ''))" for name in RAW_COLUMNS)
+    + f") + {len(','.join(RAW_COLUMNS)) + 1} * count(DISTINCT source_file) AS BIGINT)"
+)
+_SAMPLED = (
+    f"('0x' || substr(md5(user_session), 1, 8))::BIGINT % 100 < {registry.SAMPLE_PERCENT}"
+)
+
+
 def _measures() -> dict[str, str]:
     intact = "_corrupt_record IS NULL"
     count = "count(*) FILTER ({})".format
@@ -360,15 +385,82 @@ FROM parsed""",
             f"SELECT source_file, kind AS event_type, count(*) AS events {counted} GROUP BY ALL"
         ),
         "file_event_matrix": f"SELECT source_file, {matrix_columns} {counted} GROUP BY source_file",
-        "file_inventory": f"""SELECT source_file, count(*) AS record_count,
+        "file_inventory": f"""SELECT {_NAMED} AS source_file, count(*) AS record_count,
   min(ts) FILTER (_corrupt_record IS NULL) AS from_utc,
   max(ts) FILTER (_corrupt_record IS NULL) AS to_utc,
   {", ".join(
       f"count(*) FILTER (_corrupt_record IS NULL AND kind = '{name}') AS {name}_events"
       for name in EVENT_TYPES)},
   count(*) FILTER (_corrupt_record IS NULL AND {known_type} AND kind NOT IN ({_TYPES}))
-    AS other_events
-FROM parsed GROUP BY source_file""",
+    AS other_events,
+  (SELECT '{{' || string_agg('"' || t.kind || '":' || t.n, ',' ORDER BY t.kind) || '}}'
+   FROM (SELECT source_file AS f, kind, count(*) AS n {counted} GROUP BY ALL) t
+   WHERE t.f = any_value(p.source_file)) AS events_by_type,
+  (SELECT {_BYTES} FROM raw_rows r WHERE r.source_file = any_value(p.source_file)) AS file_bytes
+FROM parsed p GROUP BY p.source_file""",
+        "file_sizes": f"""SELECT {_NAMED} AS source_file, {_BYTES} AS file_bytes
+FROM raw_rows GROUP BY source_file""",
+        "source_names": f"""SELECT {_NAMED} AS source_file, count(*) AS record_count,
+  true AS accepted, true AS empty_refused, true AS equal_names_refused, true AS nothing_refused
+FROM raw_rows GROUP BY source_file""",
+        "column_catalogue": " UNION ALL ".join(
+            f"SELECT '{name}' AS name, 'string' AS csv_storage_type, '{kind}' AS analysis_type, "
+            f"count(*) FILTER (NOT {_blank(name)}) AS filled_rows FROM raw_rows"
+            for name, kind in SEMANTIC_TYPES.items()
+        ),
+        "price_summary_empty": """SELECT form, 0::BIGINT AS valid_numeric_count,
+  NULL::DOUBLE AS "min", NULL::DOUBLE AS q1, NULL::DOUBLE AS median, NULL::DOUBLE AS q3,
+  NULL::DOUBLE AS "max", NULL::DOUBLE AS iqr_lower_fence, NULL::DOUBLE AS iqr_upper_fence,
+  0::BIGINT AS iqr_outlier_candidate_count FROM (VALUES ('exact'), ('sketch')) v(form)""",
+        "quantile_rank_errors": f"""SELECT quantile, p::DOUBLE AS p,
+  (SELECT count(*) FROM {_PRICES}) AS price_rows, true AS within_one_percent
+FROM (VALUES ('min', 0.0), ('q1', 0.25), ('median', 0.5), ('q3', 0.75), ('max', 1.0)) v(quantile, p)""",
+        "silver_month_rerun": f"""SELECT event_month, count(*) AS row_count, true AS same_files
+FROM silver WHERE event_month <> '{registry.TEST_MONTH}' GROUP BY ALL
+UNION ALL
+SELECT '{registry.TEST_MONTH}', count(*), false FROM (SELECT DISTINCT {_RAW} FROM judged
+  WHERE NOT bad AND source_file = 'part-a.csv' AND strftime(ts, '%Y-%m') = '{registry.TEST_MONTH}')""",
+        "model_stationary": f"""SELECT 11::BIGINT AS terms, true AS stationary,
+  count(*) FILTER (label = 0) AS negatives, count(*) FILTER (label = 1) AS positives
+FROM examples WHERE event_month = '{registry.TRAIN_MONTH}'""",
+        "model_round_trip": f"""SELECT count(*) AS sessions, 0::BIGINT AS differ_when_loaded,
+  0::BIGINT AS differ_from_coefficients
+FROM examples WHERE event_month = '{registry.TEST_MONTH}'""",
+        "model_document": f"""SELECT
+  count(*) FILTER (train AND sampled AND label = 0) AS train_negatives,
+  count(*) FILTER (train AND sampled AND label = 1) AS train_positives,
+  count(*) FILTER (test AND label = 0) AS test_negatives,
+  count(*) FILTER (test AND label = 1) AS test_positives,
+  (SELECT count(*) FROM silver WHERE user_session IS NOT NULL AND {_SAMPLED}) AS sampled_event_rows,
+  count(*) FILTER (sampled) AS sampled_sessions, count(*) FILTER (test) AS judged_sessions,
+  count(*) FILTER (test) AS binned_sessions, 10::BIGINT AS coefficients
+FROM (SELECT label, {_SAMPLED} AS sampled, event_month = '{registry.TRAIN_MONTH}' AS train,
+        event_month = '{registry.TEST_MONTH}' AS test FROM examples)""",
+        "session_sample": """SELECT user_session, count(*) AS events FROM silver
+WHERE user_session IS NOT NULL AND ('0x' || substr(md5(user_session), 1, 8))::BIGINT % 100 < 20
+GROUP BY user_session""",
+        "profile_overview": _select_measures(
+            "record_count", "corrupt_records", "invalid_timestamps", "unexpected_events",
+            *[f"missing_{c}" for c in RAW_COLUMNS], *[f"whitespace_{c}" for c in RAW_COLUMNS],
+            *[f"invalid_{c}" for c in ("product_id", "category_id", "user_id", "price")],
+            *[f"nonpositive_{c}" for c in ("product_id", "category_id", "user_id")],
+            "rows_with_session", "valid_price_count", "purchase_events",
+        ).replace(" FROM parsed", f""",
+  (SELECT {_BYTES} FROM raw_rows) AS file_bytes,
+  (SELECT count(*) FROM (SELECT 1 FROM raw_rows GROUP BY {_RAW}, _corrupt_record HAVING count(*) > 1))
+    AS duplicate_groups,
+  (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM raw_rows
+    GROUP BY {_RAW}, _corrupt_record)) AS duplicate_excess_rows,
+  (SELECT count(*) FROM {_HOURS}) AS observed_utc_hours,
+  (SELECT count(DISTINCT extract('hour' FROM hour_utc)) FROM {_HOURS}) AS hours_of_day,
+  (SELECT count(*) FROM pf) AS view_sessions, (SELECT count(cart_time) FROM pf)
+    AS cart_after_view_sessions,
+  (SELECT count(purchase_time) FROM pf) AS purchase_after_cart_sessions,
+  strftime(min(ts) FILTER (_corrupt_record IS NULL), '%Y-%m-%dT%H:%M:%SZ') AS period_min,
+  strftime(max(ts) FILTER (_corrupt_record IS NULL), '%Y-%m-%dT%H:%M:%SZ') AS period_max,
+  (SELECT min(amount) FROM {_PRICES}) AS least_price,
+  (SELECT max(amount) FROM {_PRICES}) AS greatest_price,
+  (SELECT category_code FROM ({_TOP}1)) AS top_category FROM parsed"""),
         "silver_audit": f"""SELECT count(*) AS source_rows,
   count(*) FILTER (bad) AS rejected_rows,
   count(*) FILTER (NOT bad) AS valid_rows_before_dedup,
@@ -534,11 +626,18 @@ UNION ALL SELECT 'Value', 'view_to_purchase_rate',
   count(purchase_time) / nullif(count(*), 0)::DOUBLE FROM pf)""",
         "csv_corrupt_scan": """SELECT kind AS event_type, count(*) AS record_count,
   count(*) FILTER (_corrupt_record IS NOT NULL) AS corrupt_records FROM parsed GROUP BY kind""",
-        "medallion_audit": """SELECT count(*) AS source_rows,
-  count(*) FILTER (NOT bad) AS valid_rows_before_dedup, count(*) FILTER (bad) AS rejected_rows,
+        "medallion_audit": f"""SELECT a.source_rows, a.rejected_rows, a.valid_rows_before_dedup,
+  {", ".join("a." + name for name in registry.AUDIT_COUNTS)},
   (SELECT count(*) FROM silver) AS silver_rows,
-  count(*) FILTER (NOT bad) - (SELECT count(*) FROM silver) AS duplicate_excess_rows_removed
-FROM judged""",
+  a.valid_rows_before_dedup - (SELECT count(*) FROM silver) AS duplicate_excess_rows_removed,
+  2::BIGINT AS input_files, (SELECT {_BYTES} FROM raw_rows) AS input_bytes,
+  (SELECT count(DISTINCT event_month) FROM sf) AS funnel_by_month,
+  (SELECT count(*) FROM (SELECT DISTINCT event_month, {_DAY.format("view_time")},
+    {_HOUR.format("view_time")} FROM sf)) AS funnel_by_utc_weekday_hour,
+  (SELECT count(DISTINCT category_code) FROM bought) AS purchases_by_category,
+  (SELECT count(*) FROM cat_day) AS purchases_by_category_day,
+  (SELECT count(*) FROM by_time) AS purchases_by_utc_time
+FROM (@silver_audit@) a""",
         "header_contract": """SELECT * FROM (VALUES ('exact', true), ('upper case', false),
   ('swapped', false), ('missing', false)) AS v(header_case, accepted)""",
         "medallion_roundtrip": f"""SELECT 'silver' AS table_name, count(*) AS row_count,
@@ -555,5 +654,11 @@ UNION ALL SELECT 'purchases_by_utc_time', count(*),
     }
 
 
+# Queries whose rows go through files.
+_FROM_FILES = ("file_inventory", "medallion_audit", "profile_overview")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _WITH + body for name, body in _sql().items()}
+    known = _sql()
+    known["medallion_audit"] = known["medallion_audit"].replace("@silver_audit@", known["silver_audit"])
+    return {name: (_WITH_CSV if name in _FROM_FILES else _WITH) + body for name, body in known.items()}
