@@ -1,10 +1,9 @@
-"""Times of this library's plans beside textbook plans on the same rows.
+"""Times of this library's plans beside plain SQL on the same rows.
 
 ``python -m verification.measure <table folder> <copies> [folder for scratch tables]`` takes the
 raw rows of the folder ``copies`` times, each copy under other users and products, and prints
-seconds of the second and third run of each, in turns. The textbook plans give the same results:
-a hash of each row as JSON and ``dropDuplicates``; sorted arrays of each session's times; and a join,
-an aggregate and an outer join back.
+seconds of the second and third run of each, in turns. The statements say what the results are, in
+one way that SQL has for it, and leave the rest to Spark.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.operators import funnel, parse, quality, sessions, silver
-from clickloom.operators.duplicates import row_fingerprint
 from clickloom.schema import BRONZE_COLUMNS, RAW_COLUMNS
 from verification.clicks import clicks_raw
 
@@ -36,63 +34,38 @@ def many_rows(spark: SparkSession, sf_dir: str, copies: int) -> DataFrame:
     ).select(*BRONZE_COLUMNS)
 
 
-def textbook_silver(bronze: DataFrame) -> DataFrame:
-    valid = parse.parse_events(bronze).where(silver.is_valid())
-    return (
-        valid.withColumn("row_hash", row_fingerprint(*RAW_COLUMNS))
-        .dropDuplicates(["row_hash"])
-        .select("ts", "kind", "product", "category", "amount", "user", "user_session", "source_file")
-    )
-
-
-def textbook_funnel(events: DataFrame) -> DataFrame:
-    """First view, first cart from then on, first purchase from then on, from sorted arrays."""
-
-    def times(kind: str):
-        at = F.when(F.col("event_type") == kind, F.col("event_time"))
-        return F.array_sort(F.collect_list(at))
-
-    gathered = events.groupBy("user_session").agg(
-        F.min(F.when(F.col("event_type") == "view", F.col("event_time"))).alias("view_time"),
-        times("cart").alias("carts"),
-        times("purchase").alias("purchases"),
-    )
-
-    def first_from(array: str, since: str):
-        return F.get(F.filter(array, lambda at: at >= F.col(since)), F.lit(0))
-
-    return (
-        gathered.where("view_time IS NOT NULL")
-        .withColumn("cart_time", first_from("carts", "view_time"))
-        .withColumn("purchase_time", first_from("purchases", "cart_time"))
-        .drop("carts", "purchases")
-    )
-
-
-def textbook_examples(events: DataFrame, first, last) -> DataFrame:
-    eligible = sessions.session_eligibility(events, first, last, MINUTES)
-    view = F.col("event_type") == "view"
-    counted = (
-        events.where(F.col("event_type") != "purchase")
-        .join(eligible.select("user_session", "cutoff_time"), "user_session")
-        .where(F.col("event_time") < F.col("cutoff_time"))
-        .groupBy("user_session")
-        .agg(
-            F.count_if(view).alias("views"),
-            F.count_if(F.col("event_type") == "cart").alias("carts"),
-            F.count_if(F.col("event_type") == "remove_from_cart").alias("removals"),
-            F.count_distinct(F.when(view, F.col("product_id"))).alias("products"),
-            F.count_distinct(F.when(view, F.col("category_code"))).alias("categories"),
-            F.avg(
-                F.when(view & (F.col("price_quality") == "positive"), F.col("price"))
-            ).alias("view_price"),
-        )
-    )
-    return sessions.with_features(
-        eligible.join(counted, "user_session", "left").fillna(
-            0, ["views", "carts", "removals", "products", "categories"]
-        )
-    )
+# The definitions of the results as plain statements, over views of the same rows.
+PLAIN_SILVER = f"""
+SELECT ts, kind, product, category, amount, user, user_session, min(source_file) AS source_file
+FROM valid_rows
+GROUP BY {", ".join(RAW_COLUMNS)}, ts, kind, product, category, amount, user"""
+
+PLAIN_FUNNEL = """
+WITH viewed AS (
+  SELECT user_session, min(event_time) AS view_time FROM funnel_events
+  WHERE event_type = 'view' GROUP BY user_session),
+carted AS (
+  SELECT v.user_session, v.view_time, min(e.event_time) AS cart_time
+  FROM viewed v LEFT JOIN funnel_events e ON e.user_session = v.user_session
+    AND e.event_type = 'cart' AND e.event_time >= v.view_time
+  GROUP BY v.user_session, v.view_time)
+SELECT c.user_session, c.view_time, c.cart_time, min(e.event_time) AS purchase_time
+FROM carted c LEFT JOIN funnel_events e ON e.user_session = c.user_session
+  AND e.event_type = 'purchase' AND e.event_time >= c.cart_time
+GROUP BY c.user_session, c.view_time, c.cart_time"""
+
+PLAIN_EXAMPLES = """
+SELECT e.user_session, any_value(e.session_start) AS session_start,
+  any_value(e.first_purchase_time) AS first_purchase_time,
+  count_if(s.event_type = 'view') AS views, count_if(s.event_type = 'cart') AS carts,
+  count_if(s.event_type = 'remove_from_cart') AS removals,
+  count(DISTINCT CASE WHEN s.event_type = 'view' THEN s.product_id END) AS products,
+  count(DISTINCT CASE WHEN s.event_type = 'view' THEN s.category_code END) AS categories,
+  avg(CASE WHEN s.event_type = 'view' AND s.price_quality = 'positive' THEN s.price END)
+    AS view_price
+FROM eligible e LEFT JOIN silver s ON s.user_session = e.user_session
+  AND s.event_type <> 'purchase' AND s.event_time < e.cutoff_time
+GROUP BY e.user_session"""
 
 
 def seconds(frame: Callable[[], DataFrame]) -> float:
@@ -121,21 +94,29 @@ def main() -> None:
     edges = quality.quality(parse.parse_events(bronze), measures=quality.period_measures())
     first, last = (F.lit(edge) for edge in edges.first())
     in_sessions = parse.session_events(events)
+    views = {
+        "valid_rows": parse.parse_events(bronze).where(silver.is_valid()),
+        "funnel_events": in_sessions,
+        "silver": events,
+        "eligible": sessions.session_eligibility(events, first, last, MINUTES),
+    }
+    for name, view in views.items():
+        view.createOrReplaceTempView(name)
     steps = {
-        "Silver": (lambda: silver.silver_events(bronze), lambda: textbook_silver(bronze)),
+        "Silver": (lambda: silver.silver_events(bronze), lambda: spark.sql(PLAIN_SILVER)),
         "Session funnel": (
             lambda: funnel.funnel_sessions(in_sessions),
-            lambda: textbook_funnel(in_sessions),
+            lambda: spark.sql(PLAIN_FUNNEL),
         ),
         f"Session examples, {MINUTES}-minute cutoff": (
             lambda: sessions.session_examples(events, first, last, MINUTES),
-            lambda: textbook_examples(events, first, last),
+            lambda: sessions.with_features(spark.sql(PLAIN_EXAMPLES)),
         ),
     }
-    print(f"| {bronze.count():,} raw rows | This repository | Textbook plan | Rows |\n|---|---|---|---|")
-    for name, (own, textbook) in steps.items():
-        runs = [(seconds(own), seconds(textbook)) for _ in range(3)][1:]
-        rows = own().count(), textbook().count()
+    print(f"| {bronze.count():,} raw rows | This repository | Plain SQL | Rows |\n|---|---|---|---|")
+    for name, (own, plain) in steps.items():
+        runs = [(seconds(own), seconds(plain)) for _ in range(3)][1:]
+        rows = own().count(), plain().count()
         mine, theirs = (", ".join(str(run[side]) for run in runs) for side in (0, 1))
         print(f"| {name} | {mine} | {theirs} | {rows[0]:,} / {rows[1]:,} |", flush=True)
     spark.stop()
