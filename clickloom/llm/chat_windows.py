@@ -1,7 +1,7 @@
 """Conversations as formatted windows within a budget of tokens, each target trained on once.
 
-A window holds whole turns. Prefix sums of the turns' tokens say how far it reaches: the leading
-system turn and a limited history are repeated in front, and the rest of the budget takes new
+A window holds whole turns. Prefix sums of the turns' tokens say how far it reaches: leading
+system turns and history, both limited, are repeated in front, and the rest of the budget takes new
 turns. The loss mask covers texts of new assistant turns only, so a repeated turn is context.
 
 A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts a backslash
@@ -60,42 +60,66 @@ class _Turn:
     tokens: int
 
 
+def _last_fitting(turns: list[_Turn], tokens: int) -> list[_Turn]:
+    """As many of the last turns as have so many tokens at most."""
+    start = len(turns)
+    while start and turns[start - 1].tokens <= tokens:
+        start -= 1
+        tokens -= turns[start].tokens
+    return turns[start:]
+
+
 @dataclass
 class _Conversation:
-    """Turns as they come; holds one window's turns, the system turns and the history."""
+    """Turns as they come; holds one window's turns, the retained system turns and the history.
+
+    Leading system turns are retained as long as they fit their share of the budget together; the
+    others are turns like any. A turn is new in one window, and repeated in later ones only."""
 
     budget: int
+    system_tokens: int
     history_tokens: int
     history_turns: int
     system: list[_Turn] = field(default_factory=list)
     history: list[_Turn] = field(default_factory=list)
+    front: list[_Turn] = field(default_factory=list)
     span: list[_Turn] = field(default_factory=list)
     sums: list[int] = field(default_factory=lambda: [0])
     windows: int = 0
     opening: bool = True
+    retained: int = 0  # turns at the start of the span that later windows repeat as system turns
+    retained_tokens: int = 0
 
     def add(self, turn: _Turn) -> tuple | None:
         """A finished window, if this turn doesn't fit into it any more."""
         done = None
-        front = self.history if not self.windows else self.system + self.history
-        room = self.budget - sum(t.tokens for t in front)
+        room = self.budget - sum(t.tokens for t in self.front)
         if self.span and self.sums[-1] + turn.tokens > room:
             done = self.finish()
-        if not self.span and self.windows:
-            self._make_room(turn.tokens)
-        if self.opening and turn.role == "system":
-            self.system.append(turn)
-        else:
-            self.opening = False
+        if not self.span:
+            self._open(turn.tokens)
+        self.opening &= (
+            turn.role == "system" and self.retained_tokens + turn.tokens <= self.system_tokens
+        )
+        if self.opening:
+            self.retained += 1
+            self.retained_tokens += turn.tokens
         self.span.append(turn)
         self.sums.append(self.sums[-1] + turn.tokens)
         return done
 
+    def _open(self, tokens: int) -> None:
+        """What the window repeats: first of all system turns, then history, as the budget allows
+        beside its first new turn."""
+        room = self.budget - tokens
+        system = self.system if sum(t.tokens for t in self.system) <= room else []
+        room -= sum(t.tokens for t in system)
+        self.front = system + _last_fitting(self.history, room)
+
     def finish(self) -> tuple | None:
         if not self.span:
             return None
-        # The first window has the system turns as its own.
-        front = self.system + self.history if self.windows else []
+        front = self.front
         parts, loss, at = [], [], 0
         for number, turn in enumerate(front + self.span):
             head, rest = written(turn.role, turn.text)
@@ -108,33 +132,21 @@ class _Conversation:
             self.windows, len(front), len(front) + len(self.span),
             sum(t.tokens for t in front) + self.sums[-1], "".join(parts), loss,
         )
-        self._keep_history()
+        # The last turns that fit both limits; retained system turns are repeated anyway.
+        self.system += self.span[: self.retained]
+        past = self.history + self.span[self.retained :]
+        past = past[max(len(past) - self.history_turns, 0) :]
+        self.history = _last_fitting(past, self.history_tokens)
         self.windows += 1
-        self.span, self.sums = [], [0]
+        self.span, self.sums, self.front, self.retained = [], [0], [], 0
         return row
 
-    def _keep_history(self) -> None:
-        """The last turns that fit both limits; system turns are repeated anyway."""
-        opening = len(self.system) if not self.windows else 0
-        past = self.history + self.span[opening:]
-        sums = [0]
-        for turn in reversed(past):
-            sums.append(sums[-1] + turn.tokens)
-        count = sum(total <= self.history_tokens for total in sums[1:])
-        count = min(count, self.history_turns)
-        self.history = past[len(past) - count :]
-
-    def _make_room(self, tokens: int) -> None:
-        """Only so much history that the first new turn fits the budget."""
-        used = tokens + sum(t.tokens for t in self.system + self.history)
-        while self.history and used > self.budget:
-            used -= self.history.pop(0).tokens
-
 
 def format_windows(
     conversations: DataFrame,
     path: str,
     budget: int = BUDGET,
+    system_tokens: int | None = None,
     history_tokens: int = HISTORY_TOKENS,
     history_turns: int = HISTORY_TURNS,
 ) -> DataFrame:
@@ -144,10 +156,16 @@ def format_windows(
     Turns of a conversation come in the order of ``turn``, equal numbers by role and text, null
     numbers first; repeated rows are turns of their own. A null text or role is empty, rows
     without ``conv_id`` are one conversation. ``tokens`` is how many the formatted text has, with
-    marks, roles and escapes, in the tokenizer given. A turn that does not fit the budget beside
-    the system turn is whole in a window of its own with it, without history. A task streams through a conversation and holds one window
-    of it. Other columns are ignored; no rows give no windows.
+    marks, roles and escapes, in the tokenizer given.
+
+    Leading system turns of up to ``system_tokens`` together (half of the budget, if not given) are
+    repeated in all later windows; what they are more, or longer, is history like other turns.
+    Nothing is repeated that does not fit the budget beside the window's first new turn, so only a
+    turn that is longer than the budget itself, alone in its window, exceeds it. A task streams
+    through a conversation and holds one window of it. Other columns are ignored; no rows give no
+    windows.
     """
+    system_tokens = budget // 2 if system_tokens is None else system_tokens
     kind = conversations.schema["conv_id"].dataType.simpleString()
     ordered = (
         conversations.select(
@@ -177,7 +195,7 @@ def format_windows(
                     if state is not None and (last := state.finish()):
                         rows.append((current, *last))
                     current = conv
-                    state = _Conversation(budget, history_tokens, history_turns)
+                    state = _Conversation(budget, system_tokens, history_tokens, history_turns)
                 turn = _Turn(role, text, len(bpe.encode("".join(written(role, text)))[0]))
                 if done := state.add(turn):
                     rows.append((conv, *done))

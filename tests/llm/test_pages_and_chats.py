@@ -163,16 +163,15 @@ def conversations():
 def test_windows_hold_every_turn_once(spark, budget):
     rows = conversations()
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    windows = chat.format_windows(frame.selectExpr("*", "'x' AS window", "1 AS tokens"), BYTES, budget, budget // 4)
+    windows = chat.format_windows(frame.selectExpr("*", "'x' AS window", "1 AS tokens"), BYTES, budget, history_tokens=budget // 4)
     kept = {}
     for row in sorted(windows.collect(), key=lambda r: (str(r["conv_id"]), r["window"])):
         turns = chat.read_turns(row["text"])
         assert len(turns) == row["turns"]
-        assert row["tokens"] <= budget or row["turns"] - row["repeated"] == 1
+        assert row["tokens"] <= budget or (row["turns"], row["repeated"]) == (1, 0)
         past = kept.setdefault(row["conv_id"], [])
         repeated = turns[: row["repeated"]]
-        if past and past[0][0] == "system":
-            assert repeated[0] == past[0]
+        if past and past[0][0] == "system" and repeated and repeated[0] == past[0]:
             repeated = repeated[1:]
         assert repeated == past[len(past) - len(repeated) :]
         new = turns[row["repeated"] :]
@@ -205,6 +204,36 @@ def test_tokens_are_those_of_the_formatted_text(spark, budget):
     for row in chat.format_windows(frame, BYTES, budget).collect():
         assert row["tokens"] == count(row["text"])
         if row["tokens"] > budget:
-            assert row["turns"] - row["repeated"] == 1
-            turns = chat.read_turns(row["text"])
-            assert all(role == "system" for role, _ in turns[:-1])
+            assert (row["turns"], row["repeated"]) == (1, 0)
+
+
+@pytest.mark.parametrize("count, words", [(1, 10), (1, 60), (4, 12), (40, 3), (2000, 4), (3, 200)])
+def test_several_system_turns(spark, count, words):
+    """The retained ones are in every window that has room for them, once, and only after the
+    window in which they are new; the output grows with the input."""
+    budget, limit = 200, 100
+    said = lambda n, role: f"{role} {n} " + "word " * (words if role == "system" else 20)
+    rows = [(1, n, "system", said(n, "system")) for n in range(count)]
+    rows += [(1, count + n, ("user", "assistant")[n % 2], said(n, "turn")) for n in range(120)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    library = Tokenizer.from_file(BYTES)
+    lengths = library.encode_batch(["".join(chat.written(*r[2:])) for r in rows], add_special_tokens=False)
+    tokens = [len(one.ids) for one in lengths]
+    retained = 0
+    while retained < count and sum(tokens[: retained + 1]) <= limit:
+        retained += 1
+    system = [tuple(r[2:]) for r in rows[:retained]]
+    past, with_system = [], 0
+    windows = sorted(chat.format_windows(frame, BYTES, budget, limit, budget // 4).collect(), key=lambda r: r["window"])
+    for row in windows:
+        turns = chat.read_turns(row["text"])
+        assert len(set(turns)) == len(turns) == row["turns"]
+        repeated, new = turns[: row["repeated"]], turns[row["repeated"] :]
+        assert set(repeated) <= set(past) and not set(new) & set(past)
+        assert row["tokens"] <= budget or len(turns) == 1
+        with_system += bool(system) and repeated[: len(system)] == system
+        past += new
+    assert past == [tuple(r[2:]) for r in rows]
+    if retained:
+        assert with_system == len(windows) - 1
+    assert sum(r["tokens"] for r in windows) < 5 * sum(tokens) + budget
