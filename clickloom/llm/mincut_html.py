@@ -4,7 +4,9 @@ A page becomes a row of blocks, the runs of text between block tags. A linear cl
 each block a score from its tags, its containers' tags and names, its links and its words: the
 capacity towards content if positive, towards boilerplate if negative. Edges keep blocks
 together that follow each other, the more the nearer they are in the tree, and blocks of one
-container. The cheapest labelling is a minimum cut of this graph, found by maximum flow.
+container. The cheapest labelling is a minimum cut of this graph, found by maximum flow. Names that
+speak for boilerplate weigh more than any edges; all else is weighed so that a block's neighbours
+can outvote it, as a paragraph of a word or two in an article.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import html
 import re
 from collections import deque
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -55,7 +58,8 @@ AGAINST_BEGINNINGS = (
 )
 AGAINST_ENDS = ("footer", "menu", "nav", "sidebar")
 FOR = frozenset("article articles body content entry main post story text".split())
-AGAINST_SCORE, FOR_SCORE = -8.0, 3.0
+# A name for content makes up for little: in its container a block of one word is left to its edges.
+AGAINST_SCORE, FOR_SCORE = -8.0, 0.375
 # Where a name against content may be about something else, it lowers the score and settles nothing.
 LOWERED_SCORE = -2.0
 # First words of names that tell what an element has, not what it is.
@@ -84,15 +88,37 @@ _ATTRIBUTE = re.compile(
 _NAMES = re.compile(r"\b(?:class|id|role)$", re.I)
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _WORD_PARTS = re.compile(r"[a-z]+")
+_NO_ROOM = 1e-9
 _ENDS = (".", "!", "?", ":", "…", "”", "。", ";")
 
 
+class Element:
+    """An open element. ``holder`` is the nearest element around a text that separates blocks, itself
+    or one above; elements of that kind know their ``depth`` among themselves and the next ``up``."""
+
+    __slots__ = ("tag", "number", "hint", "shown", "holder", "up", "depth", "open_inline")
+
+    def __init__(self, tag: str, number: int, hint: float, shown: bool, around: Element | None):
+        self.tag, self.number, self.hint, self.shown = tag, number, hint, shown
+        self.up: Element | None = around.holder if around else None
+        if around is None or tag in BLOCK_TAGS:
+            self.holder = self
+            self.depth = self.up.depth + 1 if self.up else 0
+            self.open_inline: dict[str, int] = {}  # inline elements open right inside, by tag
+        else:
+            self.holder = around.holder
+
+
 class Block:
-    __slots__ = ("text", "words", "link_words", "tag", "path", "hint")
+    __slots__ = ("text", "words", "link_words", "holder", "hint")
 
-    def __init__(self, text: str, link_words: int, tag: str, path: tuple[int, ...], hint: float):
+    def __init__(self, text: str, link_words: int, holder: Element, hint: float):
         self.text, self.words = text, text.count(" ") + 1
-        self.link_words, self.tag, self.path, self.hint = link_words, tag, path, hint
+        self.link_words, self.holder, self.hint = link_words, holder, hint
+
+    @property
+    def tag(self) -> str:
+        return self.holder.tag
 
 
 _hints: dict[tuple[str, str, bool], float | None] = {}
@@ -152,11 +178,11 @@ def _own_hint(tag: str, attributes: str, lowered: bool = False) -> float | None:
 
 
 def blocks(page: str, lowered: frozenset[int] = frozenset()) -> list[Block]:
-    """Blocks of text in the order of the page. Names of the elements whose numbers are given only
-    lower the score."""
+    """Blocks of text in the order of the page, in time linear in its length. Names of the elements
+    whose numbers are given only lower the score."""
     found: list[Block] = []
-    # Open elements: tag, number, hint of the element and all around it, and whether it is shown.
-    stack: list[tuple[str, int, float, bool]] = [("", 0, 0.0, True)]
+    stack = [Element("", 0, 0.0, True, None)]
+    open_blocks: dict[str, int] = {}
     pieces: list[str] = []
     link_text: list[str] = []
     links = number = at = 0
@@ -166,20 +192,31 @@ def blocks(page: str, lowered: frozenset[int] = frozenset()) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                holders = [item for item in stack if item[0] in BLOCK_TAGS]
-                tag = holders[-1][0] if holders else ""
                 in_links = len("".join(link_text).split())
-                path = tuple(item[1] for item in holders)
-                found.append(Block(text, in_links, tag, path, stack[-1][2]))
+                found.append(Block(text, in_links, stack[-1].holder, stack[-1].hint))
             pieces, link_text = [], []
 
     def add(text: str) -> None:
-        if text and stack[-1][3]:
+        if text and stack[-1].shown:
             text = html.unescape(text)
             pieces.append(text)
             if links:
                 link_text.append(text)
 
+    def opened_by(element: Element) -> dict[str, int]:
+        """The counter that an open element is in."""
+        return open_blocks if element.holder is element else element.holder.open_inline
+
+    def push(element: Element) -> None:
+        counts = opened_by(element)
+        counts[element.tag] = counts.get(element.tag, 0) + 1
+        stack.append(element)
+
+    def pop() -> str:
+        element = stack.pop()
+        opened_by(element)[element.tag] -= 1
+        return element.tag
+
     size = len(page)
     while at < size:
         match = _TAG.search(page, at)
@@ -197,54 +234,58 @@ def blocks(page: str, lowered: frozenset[int] = frozenset()) -> list[Block]:
                 links -= 1
             if tag in BLOCK_TAGS:
                 finish()
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in BLOCK_TAGS and tag not in BLOCK_TAGS:
-                    break  # an inline end tag closes nothing outside of its block
+            # An end tag closes an open element only, and an inline one nothing outside its block.
+            around = open_blocks if tag in BLOCK_TAGS else stack[-1].holder.open_inline
+            if around.get(tag):
+                while pop() != tag:
+                    pass
             continue
         attributes = match[3]
         closed = attributes.endswith("/")
         if tag in DROPPED_TAGS:
             if not closed:
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                end = _end_tag(tag).search(page, at)
+                after = page.find(">", end.end()) if end else -1
+                at = after + 1 if after >= 0 else size
             continue
         if tag == "br":
             add(" ")
             continue
         if tag in BLOCK_TAGS:
             finish()
-            links = 0 if tag != "a" else links
-            if len(stack) > 1 and stack[-1][0] not in BLOCK_TAGS:
-                # Inline elements left open by a block don't go on in the next one.
-                while len(stack) > 1 and stack[-1][0] not in BLOCK_TAGS:
-                    stack.pop()
-            if stack[-1][0] == "p":
-                stack.pop()
-            if tag in CLOSED_BY_OWN_KIND and stack[-1][0] in CLOSED_BY_OWN_KIND[tag]:
-                stack.pop()
+            # Inline elements left open by a block don't go on in the next one.
+            links = 0
+            while stack[-1].holder is not stack[-1]:
+                pop()
+            if stack[-1].tag == "p":
+                pop()
+            if tag in CLOSED_BY_OWN_KIND and stack[-1].tag in CLOSED_BY_OWN_KIND[tag]:
+                pop()
         if tag in VOID_TAGS or closed and tag not in BLOCK_TAGS:
             continue
         if tag == "a":
             links += 1
         own = _own_hint(tag, attributes, number + 1 in lowered)
-        inside_content = stack[-1][2] > 0
-        if own == HEADER_SCORE and inside_content:
+        around = stack[-1].hint
+        if own == HEADER_SCORE and around > 0:
             own = 0.0  # an article's own headline
         number += 1
-        around = stack[-1][2]
         hint = around if own is None or not own else (own if own < 0 else around + own)
         if around < LOWERED_SCORE and hint > around and not (around == FORM_SCORE and tag in ("article", "main")):
             hint = around  # nothing inside of boilerplate makes it content again
         elif around == FORM_SCORE and tag in ("article", "main"):
             hint = FOR_SCORE
-        stack.append((tag, number, min(hint, FOR_SCORE), stack[-1][3] and own is not None))
+        shown = stack[-1].shown and own is not None
+        push(Element(tag, number, min(hint, FOR_SCORE), shown, stack[-1]))
     finish()
     return found
 
 
+@cache
+def _end_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\b", re.I)
+
+
 def score(block: Block) -> float:
     """Log odds of content."""
     words, text = block.words, block.text
@@ -257,32 +298,42 @@ def score(block: Block) -> float:
         total += 2.5
     elif block.tag in ("h2", "h3", "h4", "h5", "h6", "blockquote", "pre"):
         total += 1.0
-    elif block.tag in ("p", "td", "li", "dd"):
+    elif block.tag in ("td", "th", "li", "dd", "dt"):
+        total += 0.7  # cells and items are short where they are content too
+    else:
         total += 0.5
     if "©" in text[:40] or text[:9].lower() == "copyright":
         total -= 3.0
     return total
 
 
+def _steps(one: Element, other: Element) -> int:
+    """Elements to leave and to enter from one holder to another. Over a page's blocks in order each
+    element is left once and entered once, however deep it is."""
+    steps = 0
+    while one is not other:
+        if one.depth >= other.depth:
+            one = one.up
+        else:
+            other = other.up
+        steps += 1
+    return steps
+
+
 def smoothness(found: Sequence[Block]) -> list[tuple[int, int, float]]:
     """Edges between neighbours, and between a block and the next one of its container."""
     edges = []
-    last_in: dict[tuple[int, ...], int] = {}
+    last_in: dict[int, int] = {}
     for at, block in enumerate(found):
-        parent = block.path[:-1]
+        holder = block.holder
+        container = holder.up.number if holder.up else -1
         if at:
-            before = found[at - 1].path
-            shared = 0
-            for one, other in zip(before, block.path, strict=False):
-                if one != other:
-                    break
-                shared += 1
-            steps = len(before) + len(block.path) - 2 * shared
+            steps = _steps(found[at - 1].holder, holder)
             edges.append((at - 1, at, 0.2 + 1.6 / (1 + max(0, steps - 1))))
-        other = last_in.get(parent)
+        other = last_in.get(container)
         if other is not None and other != at - 1:
             edges.append((other, at, 0.4))
-        last_in[parent] = at
+        last_in[container] = at
     return edges
 
 
@@ -291,7 +342,9 @@ def min_cut(scores: Sequence[float], edges: Sequence[tuple[int, int, float]]) ->
 
     A node whose own capacity is at least that of all its edges takes its side in some cheapest
     cut; it is settled first, and what it holds of its neighbours becomes theirs. The others are
-    separated by flow along shortest augmenting paths."""
+    separated by flow along shortest augmenting paths. Of several cheapest cuts, nodes settled by
+    an exact tie go by their own score (a score of zero is boilerplate), and of the others the
+    fewest are content."""
     count = len(scores)
     own = list(scores)
     near: list[dict[int, float]] = [{} for _ in range(count)]
@@ -319,36 +372,72 @@ def min_cut(scores: Sequence[float], edges: Sequence[tuple[int, int, float]]) ->
 
 
 def _flow(left: list[int], own: list[float], near: list[dict[int, float]]) -> set[int]:
-    """Nodes that content still reaches when no more flows to boilerplate."""
-    source, sink = -1, -2
-    free: dict[int, dict[int, float]] = {source: {}, sink: {}}
+    """Nodes that content still reaches when no more flows to boilerplate.
+
+    Flow is pushed along shortest paths, all paths of one length at a time: levels are found once,
+    and each edge that leads no further is passed over for good."""
+    index = {node: at for at, node in enumerate(left)}
+    source, sink = len(left), len(left) + 1
+    edges: list[list[int]] = [[] for _ in range(len(left) + 2)]
+    heads: list[int] = []
+    rooms: list[float] = []
+
+    def connect(a: int, b: int, room: float, back: float) -> None:
+        """An edge and its reverse, whose numbers differ in the last bit."""
+        for one, other, free in ((a, b, room), (b, a, back)):
+            edges[one].append(len(heads))
+            heads.append(other)
+            rooms.append(free)
+
     for node in left:
-        free[node] = dict(near[node])
         if own[node] > 0:
-            free[source][node] = own[node]
-            free[node][source] = 0.0
-        else:
-            free[node][sink] = -own[node]
-            free[sink][node] = 0.0
+            connect(source, index[node], own[node], 0.0)
+        elif own[node] < 0:
+            connect(index[node], sink, -own[node], 0.0)
+        for other, weight in near[node].items():
+            if node < other:
+                connect(index[node], index[other], weight, weight)
     while True:
-        came: dict[int, int] = {source: source}
+        level = [-1] * len(edges)
+        level[source] = 0
         queue = deque([source])
-        while queue and sink not in came:
+        while queue and level[sink] < 0:
             node = queue.popleft()
-            for other, room in free[node].items():
-                if room > 1e-9 and other not in came:
-                    came[other] = node
+            for edge in edges[node]:
+                other = heads[edge]
+                if level[other] < 0 and rooms[edge] > _NO_ROOM:
+                    level[other] = level[node] + 1
                     queue.append(other)
-        if sink not in came:
-            return set(came)
-        path, node = [], sink
-        while node != source:
-            path.append((came[node], node))
-            node = came[node]
-        amount = min(free[a][b] for a, b in path)
-        for a, b in path:
-            free[a][b] -= amount
-            free[b][a] = free[b].get(a, 0.0) + amount
+        if level[sink] < 0:
+            return {left[at] for at in range(len(left)) if level[at] >= 0}
+        tried = [0] * len(edges)
+        path: list[int] = []
+        node = source
+        while True:
+            if node == sink:
+                amount = min(rooms[edge] for edge in path)
+                for edge in path:
+                    rooms[edge] -= amount
+                    rooms[edge ^ 1] += amount
+                # Go on from before the first edge that is full now.
+                full = next(at for at, edge in enumerate(path) if rooms[edge] <= _NO_ROOM)
+                node = heads[path[full] ^ 1]
+                del path[full:]
+                continue
+            own_edges = edges[node]
+            while tried[node] < len(own_edges):
+                edge = own_edges[tried[node]]
+                if rooms[edge] > _NO_ROOM and level[heads[edge]] == level[node] + 1:
+                    break
+                tried[node] += 1
+            if tried[node] < len(own_edges):
+                path.append(edge)
+                node = heads[edge]
+            elif path:
+                node = heads[path.pop() ^ 1]
+                tried[node] += 1
+            else:
+                break
 
 
 def main_text(page: str) -> str:
@@ -357,11 +446,22 @@ def main_text(page: str) -> str:
     if found and not text:
         # Names of a container of most words may be about its layout or its subject.
         words: dict[int, int] = {}
+        above: dict[int, int] = {}
         for block in found:
-            for element in block.path:
-                words[element] = words.get(element, 0) + block.words
+            words[block.holder.number] = words.get(block.holder.number, 0) + block.words
+            one = block.holder
+            while one.up and one.number not in above:
+                above[one.number] = one.up.number
+                one = one.up
+        # Inner elements have higher numbers than those around them.
+        for element in sorted(above, reverse=True):
+            words[above[element]] = words.get(above[element], 0) + words.get(element, 0)
         half = sum(block.words for block in found) / 2
-        text = _content(blocks(page, frozenset(one for one, n in words.items() if n > half)))
+        found = blocks(page, frozenset(one for one, n in words.items() if n > half))
+        text = _content(found)
+        if not text:
+            # An article too small to tell by its words: what names for content hold.
+            text = " ".join(block.text for block in found if block.hint > 0)
     return text
 
 
