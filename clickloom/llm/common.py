@@ -58,3 +58,13 @@ def kept(frame: DataFrame, purpose: str) -> DataFrame:
     path = f"{shared_root(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def dealt_by_range(frame: DataFrame, purpose: str, *order: Column | str) -> DataFrame:
+    """The rows with ``part``, numbers of ranges of an order, which have about as many rows each
+    however far apart the values are. Ranges ascend with their numbers. The table is written, as
+    where ranges begin comes from a sample; rows that may repeat need something in the order that
+    tells them apart, else they all are in one range."""
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = frame.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    return kept(dealt, purpose)

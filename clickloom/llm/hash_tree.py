@@ -17,9 +17,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from clickloom.llm.common import dealt_by_range
+
 REGION_RACKS, RACK_SHARDS = 2, 2
-BLOCK = 4096  # keys that are numbered together
-NULL_PARTS = 4096  # blocks of rows without a key, by their text's checksum
 
 
 @dataclass(frozen=True)
@@ -109,14 +109,14 @@ def shard_documents(
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for each row.
 
     The law is ``key``: the id and the tree decide, so equal ids share a shard, and ids are spread
-    whatever their texts. ``slot`` numbers a shard's rows without gaps from 0, ordered by blocks
-    of ids, then id and checksum. ``grown_shard`` is the shard in the larger tree. A null text
+    whatever their texts. ``slot`` numbers a shard's rows without gaps from 0, in the order of id
+    (null first), checksum and size. ``grown_shard`` is the shard in the larger tree. A null text
     has size 1 and the checksum of an empty one; a null id is the key ``null``. Repeated rows
     have slots of their own; other columns are ignored; no rows give none.
 
-    Slots take no task that sees a whole shard: rows are numbered within small blocks of ids, and
-    the blocks of a shard start where the sum of those before ends. Rows without an id are in
-    blocks by checksum.
+    Slots take no task that sees a whole shard: rows are dealt by range in that order, however far
+    apart the ids are, and numbered in their range; a shard's first slot of a range is the sum of
+    its rows in the ranges before.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -124,50 +124,29 @@ def shard_documents(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.lit("key").alias("law"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    order = ("doc_id", "text_crc32", "size", "row")
+    placed = dealt_by_range(rows, "slots", *order).select(
+        "*",
         shard_of(key, tree).cast("int").alias("shard"),
         shard_of(key, larger).cast("int").alias("grown_shard"),
-        F.struct(
-            F.coalesce(F.floor(F.col("doc_id") / BLOCK), F.lit(-1)).alias("range"),
-            F.when(F.col("doc_id").isNull(), F.crc32(text) % NULL_PARTS)
-            .otherwise(0)
-            .alias("part"),
-        ).alias("block"),
-    )
-
-
-    # Blocks of one shard, first summed within groups of blocks, then over the groups.
-    group = F.floor(F.col("block.range") / BLOCK)
-    counts = rows.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
-    groups = counts.groupBy("shard", group.alias("group")).agg(F.sum("n").alias("n"))
-    before_group = (
-        Window.partitionBy("shard").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before_block = (
-        Window.partitionBy("shard", "group")
-        .orderBy("block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    groups = groups.select(
-        "shard", "group", F.coalesce(F.sum("n").over(before_group), F.lit(0)).alias("group_start")
     )
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        counts.withColumn("group", group)
-        .withColumn("start", F.coalesce(F.sum("n").over(before_block), F.lit(0)))
-        .join(groups, ["shard", "group"])
-        .select("shard", "block", (F.col("start") + F.col("group_start")).alias("start"))
-    )
-    place = F.row_number().over(
-        Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size")
+        placed.groupBy("shard", "part")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     )
+    place = F.row_number().over(Window.partitionBy("shard", "part").orderBy(*order))
     return (
-        rows.withColumn("place", place)
-        .join(starts, ["shard", "block"])
+        placed.withColumn("place", place)
+        .join(starts, ["shard", "part"])
         .select(
             "doc_id",
             "size",
             "text_crc32",
-            "law",
+            F.lit("key").alias("law"),
             "shard",
             (F.col("start") + F.col("place") - 1).alias("slot"),
             "grown_shard",
