@@ -18,7 +18,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.llm.common import kept
+from clickloom.llm.common import dealt_by_range, kept
 
 # Terms in more than one of 500 and fewer than one of 5 documents, in two at least.
 # The band of idf is from ln 5 to ln 500.
@@ -30,7 +30,6 @@ TOKEN = 6  # hex digits of a subset: two for its number of terms (up to 255), th
 # The lexicon has at most (distinct terms of an average document) * MOST_PARTS terms. Up to so many it
 # is sent to all executors; a larger one is joined by shuffle.
 SENT_TERMS = 500_000
-RANGE = 4096  # ids whose order one window takes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_ID = -(1 << 63)
@@ -50,8 +49,9 @@ def code(term: Column) -> Column:
     return F.conv(F.substring(F.md5(term), 1, 7), 16, 10).cast("long")
 
 
-def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``term, code`` of all terms in the band, counted over all rows."""
+def counted_terms(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``term, code, common`` of all terms in the band and, marked, of those too common for it,
+    counted over all rows."""
     counted = (
         docs.select(F.explode(terms(F.coalesce(F.col(text), F.lit("")))).alias("term"))
         .where("term <> ''")
@@ -59,12 +59,11 @@ def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
-    in_band = (
-        (F.col("n") >= 2)
-        & (F.col("n") * MOST_PARTS >= total)
-        & (F.col("n") * LEAST_PARTS <= total)
+    common = F.col("n") * LEAST_PARTS > total
+    in_band = (F.col("n") >= 2) & (F.col("n") * MOST_PARTS >= total) & ~common
+    return counted.where(common | in_band).select(
+        "term", code(F.col("term")).alias("code"), common.alias("common")
     )
-    return counted.where(in_band).select("term", code(F.col("term")).alias("code"))
 
 
 def fingerprint(codes: Column, digest: Column) -> Column:
@@ -129,48 +128,63 @@ def likeness(one: str, other: str) -> Column:
 
 
 def _in_order(keys: DataFrame) -> DataFrame:
-    """Keys ``id, tie`` with what came along, and the keys before and after each, in a ring.
+    """Different keys ``id, tie`` with what came along, and the keys before and after each, in a ring.
 
-    Windows see a range of ids, then the ends of ranges, then the ends of groups of ranges; only
-    the last are all in one task, one row for 16 million ids."""
-    part = F.floor(F.col("id") / RANGE)
-    placed = keys.withColumns({"part": part, "group": F.floor(part / RANGE)})
+    Windows see a range of keys, and then the ends of ranges, of which there are as many as the
+    session has shuffle partitions."""
     me = F.struct("id", "tie", "n")
-    in_part = Window.partitionBy("group", "part").orderBy("id", "tie")
+    placed = dealt_by_range(keys, "ranges", "id", "tie")
+    in_part = Window.partitionBy("part").orderBy("id", "tie")
     rows = placed.withColumns({"ahead": F.lead(me).over(in_part), "behind": F.lag(me).over(in_part)})
-
-    def ends(frame: DataFrame, by: list[str], head: Column, tail: Column) -> DataFrame:
-        return frame.groupBy(*by).agg(F.min(head).alias("head"), F.max(tail).alias("tail"))
-
-    parts = ends(placed, ["group", "part"], me, me)
-    groups = ends(parts, ["group"], F.col("head"), F.col("tail"))
-    in_group = Window.partitionBy("group").orderBy("part")
-    in_all, whole = Window.orderBy("group"), Window.partitionBy()
-    groups = groups.select(
-        "group",
-        F.coalesce(F.lead("head").over(in_all), F.min("head").over(whole)).alias("group_ahead"),
-        F.coalesce(F.lag("tail").over(in_all), F.max("tail").over(whole)).alias("group_behind"),
-    )
-    parts = (
-        parts.withColumns({
-            "part_ahead": F.lead("head").over(in_group),
-            "part_behind": F.lag("tail").over(in_group),
-        })
-        .join(groups, "group")
+    in_all, whole = Window.orderBy("part"), Window.partitionBy()
+    ends = (
+        placed.groupBy("part")
+        .agg(F.min(me).alias("head"), F.max(me).alias("tail"))
         .select(
-            "group",
             "part",
-            F.coalesce("part_ahead", "group_ahead").alias("part_ahead"),
-            F.coalesce("part_behind", "group_behind").alias("part_behind"),
+            F.coalesce(F.lead("head").over(in_all), F.min("head").over(whole)).alias("part_ahead"),
+            F.coalesce(F.lag("tail").over(in_all), F.max("tail").over(whole)).alias("part_behind"),
         )
-    )
-    return rows.join(parts, ["group", "part"]).select(
+    )
+    return rows.join(ends, "part").select(
         *keys.columns,
         F.coalesce("ahead", "part_ahead").alias("ahead"),
         F.coalesce("behind", "part_behind").alias("behind"),
     )
 
 
+def spread_terms(texts: DataFrame) -> DataFrame:
+    """``id, tie, edited, term, digest``: a row for each distinct term of a text, and one for the text
+    as such, which has its digest. That one's term begins with a blank, so it is no word, and has
+    the key behind, so that no join gathers those of all texts."""
+    own = F.concat_ws(" ", F.lit(""), "id", "tie")
+    no_digest = F.lit(None).cast("string")
+    lines = F.concat(
+        F.array(F.struct(own.alias("term"), F.sha2("text", 256).alias("digest"))),
+        F.transform(
+            terms(F.col("text")), lambda term: F.struct(term.alias("term"), no_digest.alias("digest"))
+        ),
+    )
+    return texts.select("id", "tie", "edited", F.inline(lines))
+
+
+def _coded(spread: DataFrame, words: DataFrame) -> DataFrame:
+    """The rows of terms in the band, with their codes, and those of texts as such.
+
+    A lexicon of up to SENT_TERMS terms is sent. A larger one is joined by shuffle, after the terms
+    too common for it are gone: there are LEAST_PARTS times as many of them as an average document
+    has at most, so these are sent."""
+    band = words.where(~F.col("common")).select("term", "code")
+    if band.count() <= SENT_TERMS:
+        joined = spread.join(F.broadcast(band), "term", "left")
+    else:
+        common = words.where("common").select("term")
+        joined = spread.join(F.broadcast(common), "term", "left_anti").join(
+            band.hint("merge"), "term", "left"
+        )
+    return joined.where(F.col("code").isNotNull() | F.col("term").startswith(" "))
+
+
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``
     for each row.
@@ -185,8 +199,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).select("id", F.xxhash64("text").alias("tie"), "text", F.length("text").alias("n"))
-    words = kept(lexicon(rows), "lexicon")
-    sent = F.broadcast(words) if words.count() <= SENT_TERMS else words
+    words = kept(counted_terms(rows), "lexicon")
     order = kept(
         _in_order(rows.groupBy("id", "tie", "n").agg(F.count(F.lit(1)).alias("copies"))), "order"
     )
@@ -216,20 +229,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         )
         .select("id", "tie", "version.edited", F.col("version.text").alias("text"))
     )
-    # A blank, which is no word, stands for the text as such.
-    spread = both.select(
-        "id",
-        "tie",
-        "edited",
-        F.sha2("text", 256).alias("digest"),
-        F.explode(F.concat(F.array(F.lit(" ")), terms(F.col("text")))).alias("term"),
-    )
     found = (
-        spread.join(sent, "term", "left")
-        .where(F.col("code").isNotNull() | (F.col("term") == " "))
-        .select(
-            "id", "tie", "edited", "code", F.when(F.col("term") == " ", F.col("digest")).alias("digest")
-        )
+        _coded(spread_terms(both), words)
         .groupBy("id", "tie")
         .agg(
             F.collect_set(F.when(~F.col("edited"), F.col("code"))).alias("codes"),

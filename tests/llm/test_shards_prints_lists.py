@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 from collections import Counter
 from datetime import date
@@ -66,6 +67,45 @@ def test_slots_have_no_gaps(docs, clashing):
     assert hash_tree.shard_documents(rows.limit(0), tree, tree).count() == 0
 
 
+def sparse(n):
+    """Ids over the whole range of 64 bits, some repeated, and a hot row without id."""
+    draw = random.Random(n)
+    ids = [draw.randint(-(2**63) + 1, 2**63 - 1) for _ in range(n)]
+    return [*((i, f"text {i % 97}") for i in ids), *((ids[0], "again"),) * 3, *((None, "hot"),) * (n // 3)]
+
+
+def largest_task(plan_rows):
+    return plan_rows.groupBy("part").count().agg(F.max("count"), F.avg("count")).first()
+
+
+def test_sparse_ids_are_dealt_evenly(spark, docs, monkeypatch):
+    seen = []
+    for module in (hash_tree, imatch):
+        real = module.dealt_by_range
+        monkeypatch.setattr(module, "dealt_by_range", lambda *a, real=real: seen.append(real(*a)) or seen[-1])
+    rows = docs(*sparse(20_000)).repartition(4)
+    tree = hash_tree.even_tree(8)
+    found = hash_tree.shard_documents(rows, tree, hash_tree.grown(tree)).collect()
+    for shard in range(8):
+        slots = sorted(row["slot"] for row in found if row["shard"] == shard)
+        assert slots == list(range(len(slots)))
+        in_order = sorted((r for r in found if r["shard"] == shard), key=lambda r: r["slot"])
+        ids = [r["doc_id"] for r in in_order if r["doc_id"] is not None]
+        assert ids == sorted(ids)
+    assert len(found) == rows.count()
+    keys = rows.where("doc_id is not null").selectExpr("doc_id AS id", "xxhash64(text) AS tie", "length(text) AS n").distinct()
+    ring = {(r["id"], r["tie"]): r for r in imatch._in_order(keys).collect()}
+    ordered = sorted(ring)
+    for at, key in enumerate(ordered):
+        after = ordered[(at + 1) % len(ordered)]
+        assert (ring[key]["ahead"]["id"], ring[key]["ahead"]["tie"]) == after
+        assert (ring[after]["behind"]["id"], ring[after]["behind"]["tie"]) == key
+    assert len(seen) == 2
+    for dealt in seen:
+        most, mean = largest_task(dealt)
+        assert most < 2 * mean
+
+
 # --- fingerprints ------------------------------------------------------------
 def test_edits_follow_the_ring_of_ids(docs, clashing):
     shared = "common words that many texts hold in some order or other"
@@ -192,3 +232,23 @@ def test_no_entries_and_no_captures(spark):
     )
     assert temporal_lists.judge_captures(captures, changes.limit(0)).first()["kept"]
     assert temporal_lists.judge_captures(captures.limit(0), changes).count() == 0
+
+
+def test_a_lexicon_joined_by_shuffle_gives_the_same(docs, monkeypatch):
+    draw = random.Random(4)
+    words = [f"w{n}" for n in range(600)]
+    texts = [*ODD_TEXTS, *(" ".join(["the", "of", *draw.sample(words, 100)]) for _ in range(150))]
+    rows = docs(*texts)
+    sent = sorted(imatch.edited_fingerprints(rows).collect(), key=repr)
+    monkeypatch.setattr(imatch, "SENT_TERMS", 0)
+    shuffled = imatch.edited_fingerprints(rows)
+    assert sorted(shuffled.collect(), key=repr) == sent
+    # What the shuffled join deals out: no term has more than a hundredth of the rows.
+    texts = rows.selectExpr("doc_id AS id", "0L AS tie", "false AS edited", "coalesce(text, '') AS text")
+    counted = imatch.counted_terms(rows)
+    common = {r["term"] for r in counted.where("common").collect()}
+    assert {"the", "of"} <= common and len(common) <= imatch.LEAST_PARTS * 102
+    spread = imatch.spread_terms(texts).where(~F.col("term").isin(*common))
+    most = spread.groupBy("term").count().agg(F.max("count"), F.sum("count")).first()
+    assert most[0] * 100 < most[1]
+    assert spread.where("digest IS NOT NULL").count() == rows.count()
