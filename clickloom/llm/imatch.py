@@ -154,18 +154,18 @@ def _in_order(keys: DataFrame) -> DataFrame:
 
 
 def spread_terms(texts: DataFrame) -> DataFrame:
-    """``id, tie, edited, term, digest``: a row for each distinct term of a text, and one for the text
-    as such, which has its digest. That one's term begins with a blank, so it is no word, and has
-    the key behind, so that no join gathers those of all texts."""
-    own = F.concat_ws(" ", F.lit(""), "id", "tie")
-    no_digest = F.lit(None).cast("string")
-    lines = F.concat(
-        F.array(F.struct(own.alias("term"), F.sha2("text", 256).alias("digest"))),
-        F.transform(
-            terms(F.col("text")), lambda term: F.struct(term.alias("term"), no_digest.alias("digest"))
-        ),
+    """``id, tie, edited, term``: a row for each distinct term of a text, and one for the text as
+    such, whose term is a blank, the digest and the key. So it is no word, and no join gathers those
+    of all texts."""
+    own = F.concat_ws(" ", F.lit(""), F.sha2("text", 256), "id", "tie")
+    return texts.select(
+        "id", "tie", "edited", F.explode(F.concat(F.array(own), terms(F.col("text")))).alias("term")
     )
-    return texts.select("id", "tie", "edited", F.inline(lines))
+
+
+def _digest(edited: bool) -> Column:
+    own = F.col("term").startswith(" ") & (F.col("edited") == edited)
+    return F.max(F.when(own, F.substring("term", 2, 64)))
 
 
 def _coded(spread: DataFrame, words: DataFrame) -> DataFrame:
@@ -235,8 +235,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         .agg(
             F.collect_set(F.when(~F.col("edited"), F.col("code"))).alias("codes"),
             F.collect_set(F.when(F.col("edited"), F.col("code"))).alias("edited_codes"),
-            F.max(F.when(~F.col("edited"), F.col("digest"))).alias("digest"),
-            F.max(F.when(F.col("edited"), F.col("digest"))).alias("edited_sha256"),
+            _digest(False).alias("digest"),
+            _digest(True).alias("edited_sha256"),
         )
     )
     prints = kept(
