@@ -21,7 +21,7 @@ from clickloom.llm.common import map_rows, slices
 # Base rules.
 WINDOW, FEWEST_WORDS, REPEATED_PERCENT = 5, 10, 20
 # The method's limits: repeats of so many words count; their share of the words, and the longest.
-REPEAT_WORDS, COVERED_PERCENT, LONGEST_WORDS = 10, 15, 40
+REPEAT_WORDS, COVERED_PERCENT, LONGEST_WORDS = 10, 19, 40
 
 _SPACES = " \t\n\v\f\r"
 _SYMBOLS = "#*$%&|<>"
