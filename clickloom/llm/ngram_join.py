@@ -527,6 +527,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
         marked.where(maybe)
         .select(*docs.columns)
         .join(facts.where("dropped").select("doc_id"), "doc_id", "left_anti")
-        .dropDuplicates(["doc_id"])
+        # Of several texts under one id the first by text stays, whatever order they come in.
+        .groupBy(F.col("doc_id").alias("same_id"))
+        .agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("stays"))
+        .select(*(F.col(f"stays.{name}").alias(name) for name in docs.columns))
     )
     return sure.unionByName(others)

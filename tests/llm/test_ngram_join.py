@@ -91,3 +91,13 @@ def test_components_of_a_long_chain(spark):
     assert {r["node"]: r["component"] for r in found} == {
         **{i: 0 for i in range(61)}, 99: 99, 100: 99, 101: 99, 102: 102, 103: 102,
     }
+
+
+def test_one_of_several_texts_under_one_id(docs):
+    """The same one on every run, and in any order of rows."""
+    text = " ".join(f"w{n}" for n in range(40))
+    rows = [(1, f"{text} b"), (1, f"{text} a"), (1, f"{text} a"), (2, f"{text} c"), (3, "other words")]
+    for order in (rows, rows[::-1]):
+        for parts in (1, 5):
+            kept = ngram_join.keep_one(docs(*order).repartition(parts)).collect()
+            assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, f"{text} a"), (3, "other words")]
