@@ -1,12 +1,14 @@
 """Quality classifier: a document is a bag of passages, judged by gated attention over them.
 
-Each passage of a text becomes a vector of shares of signs and words. A small network encodes the
+Each passage of a text becomes a vector: shares of signs, statistics of its words, and its words and
+pairs of neighbouring words, hashed into a fixed number of columns. A small network encodes the
 passages, weighs them by gated attention, and scores the weighted mean of the encodings. Only
 documents have labels; which passages matter is learned from them.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +40,28 @@ _CLASS = np.full(256, len(_GROUPS), np.int64)  # the rest: control signs, and by
 for _number, _group in enumerate(_GROUPS):
     _CLASS[list(_group)] = _number
 _CLASSES = len(_GROUPS) + 1
-FEATURES = _CLASSES + 6
+_MEASURES = _CLASSES + 6
+# Columns for hashed words, and as many for pairs. One word says less than a share of the whole
+# passage, so these columns count less in the fit.
+HASHED, HASHED_SCALE = 64, 0.1
+FEATURES = _MEASURES + 2 * HASHED
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    """Numbers of 64 bits spread evenly, alike on every machine."""
+    codes = (codes ^ (codes >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    codes = (codes ^ (codes >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return codes ^ (codes >> np.uint64(33))
+
+
+def _hashed(codes: np.ndarray, owner: np.ndarray, total: int) -> np.ndarray:
+    """Sums of signs by passage and column, over the root of how many there are."""
+    codes = _mixed(codes)
+    column = (codes % np.uint64(HASHED)).astype(np.int64)
+    sign = np.where(codes >> np.uint64(63), 1.0, -1.0)
+    sums = np.bincount(owner * HASHED + column, weights=sign, minlength=total * HASHED)
+    n = np.maximum(1, np.bincount(owner, minlength=total))
+    return sums.reshape(total, HASHED) / np.sqrt(n)[:, None]
 
 
 def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,6 +105,11 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     )
     for at, column in enumerate(others):
         vectors[:, _CLASSES + at] = column
+    codes = np.fromiter((zlib.crc32(word.lower()) for word in numbers), np.uint64, len(numbers))[ids]
+    vectors[:, _MEASURES : _MEASURES + HASHED] = _hashed(codes, owner, total)
+    beside = owner[1:] == owner[:-1]
+    follow = ((codes[:-1] << np.uint64(32)) | codes[1:])[beside]
+    vectors[:, _MEASURES + HASHED :] = _hashed(follow, owner[1:][beside], total)
     return vectors, bags
 
 
@@ -105,7 +133,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _forward(w: dict[str, np.ndarray], x: np.ndarray, bags: np.ndarray) -> dict[str, np.ndarray]:
     starts = np.cumsum(bags) - bags
-    encoded = np.tanh(x @ w["encode"] + w["encode_bias"])
+    encoded = np.tanh(x @ w["encode"].astype(x.dtype) + w["encode_bias"])
     value, gate = np.tanh(encoded @ w["value"]), _sigmoid(encoded @ w["gate"])
     raw = (value * gate) @ w["attend"]
     raw = np.exp(raw - np.repeat(np.maximum.reduceat(raw, starts), bags))
@@ -122,10 +150,11 @@ def fit(vectors: np.ndarray, bags: np.ndarray, labels: np.ndarray) -> AttentionM
     if prior in (0.0, 1.0) or not len(labels):
         return AttentionModel(prior)
     draw = np.random.default_rng(SEED)
-    mean, spread = vectors.mean(axis=0), vectors.std(axis=0) + 1e-3
-    x = ((vectors - mean) / spread).astype(np.float64)
+    mean, spread = vectors.mean(axis=0, dtype=np.float64), vectors.std(axis=0, dtype=np.float64) + 1e-3
+    spread[_MEASURES:] /= HASHED_SCALE
+    x = ((vectors - mean) / spread).astype(np.float32)
     w = {
-        "encode": draw.normal(0, 1 / np.sqrt(FEATURES), (FEATURES, HIDDEN)),
+        "encode": draw.normal(0, 1 / np.sqrt(_MEASURES), (FEATURES, HIDDEN)),
         "encode_bias": np.zeros(HIDDEN),
         "value": draw.normal(0, 1 / np.sqrt(HIDDEN), (HIDDEN, GATES)),
         "gate": draw.normal(0, 1 / np.sqrt(HIDDEN), (HIDDEN, GATES)),
@@ -161,7 +190,7 @@ def _slopes(
     encoded = f["weight"][:, None] * pooled + value @ w["value"].T + gate @ w["gate"].T
     encoded *= 1 - f["encoded"] ** 2
     return {
-        "encode": x.T @ encoded,
+        "encode": x.T @ encoded.astype(x.dtype),
         "encode_bias": encoded.sum(axis=0),
         "value": f["encoded"].T @ value,
         "gate": f["encoded"].T @ gate,

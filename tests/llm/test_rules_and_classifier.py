@@ -75,6 +75,51 @@ def test_slopes_are_the_losss():
         assert slope[at] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-6)
 
 
+def texts_with_one_passage_that_decides(seed, n):
+    """Long texts whose passages are of good or of bad words by chance; only the one with digits
+    counts."""
+    draw = random.Random(seed)
+    good = ["garden", "river", "letter", "window"]
+    bad = ["casino", "jackpot", "refill", "voucher"]
+    texts, labels = [], []
+    for _ in range(n):
+        share = draw.random()
+        passages = [
+            draw.choices(good if draw.random() < share else bad, k=mil.PASSAGE_WORDS)
+            for _ in range(draw.randint(60, 120))
+        ]
+        labels.append(draw.randint(0, 1))
+        key = draw.choices(good if labels[-1] else bad, k=mil.PASSAGE_WORDS // 2)
+        passages[draw.randrange(len(passages))] = [w for x in key for w in (x, "2019")]
+        texts.append(" ".join(w for passage in passages for w in passage))
+    return texts, np.array(labels, float)
+
+
+def test_attention_finds_the_passage_that_decides(monkeypatch):
+    texts, labels = texts_with_one_passage_that_decides(1, 120)
+    seen = mil.passages(texts)
+    texts, wanted = texts_with_one_passage_that_decides(2, 200)
+    new = mil.passages(texts)
+
+    def right():
+        return ((mil.fit(*seen, labels).scores(*new) >= 0.5) == (wanted == 1)).mean()
+
+    by_attention, forward = right(), mil._forward
+    level = {"attend": np.zeros(mil.GATES)}  # equal weights: the mean over passages
+    monkeypatch.setattr(mil, "_forward", lambda w, x, bags: forward({**w, **level}, x, bags))
+    assert by_attention > 0.95 and right() < 0.8
+
+
+def test_words_and_pairs_count_in_vectors():
+    plain, other, turned = (
+        mil.passages([text])[0][0] for text in ("aa bb cc dd", "aa bb cc ee", "bb aa dd cc")
+    )
+    measures, words = mil._MEASURES, mil._MEASURES + mil.HASHED
+    assert (plain[:measures] == other[:measures]).all() and (plain[measures:] != other[measures:]).any()
+    assert np.allclose(plain[:words], turned[:words]) and (plain[words:] != turned[words:]).any()
+    assert np.allclose(mil.passages(["AA bb CC dd"])[0][0][measures:], plain[measures:])
+
+
 def test_held_out_accuracy(spark, small):
     folder = small.replace("sf0.001", "sf0.01")
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
