@@ -43,8 +43,13 @@ def deduplicate(rows: DataFrame) -> DataFrame:
 
 
 def silver_events(bronze: DataFrame) -> DataFrame:
-    valid = parse_events(bronze).where(is_valid())
-    return parse_events(deduplicate(valid)).select(
+    return silver_of_parsed(parse_events(bronze))
+
+
+def silver_of_parsed(parsed: DataFrame) -> DataFrame:
+    """Silver from parsed events. Copies meet by their raw columns alone, and what is left of them
+    is parsed again, which is less work than to carry numbers and times through the shuffle."""
+    return parse_events(deduplicate(parsed.where(is_valid()))).select(
         F.col("ts").alias("event_time"),
         F.col("kind").alias("event_type"),
         F.col("product").alias("product_id"),

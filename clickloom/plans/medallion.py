@@ -11,7 +11,7 @@ from clickloom.operators.gold import funnel_base, gold_tables
 from clickloom.operators.parse import parse_events
 from clickloom.operators.purchases import purchase_cube
 from clickloom.operators.quality import silver_audit
-from clickloom.operators.silver import silver_events
+from clickloom.operators.silver import silver_events, silver_of_parsed
 from clickloom.schema import GOLD_ORDER, GOLD_TABLES
 from clickloom.session import use_utc
 from clickloom.sources.events_csv import check_inputs, input_files, staged_events
@@ -91,9 +91,9 @@ def run_medallion(
         F.count(F.lit(1)).alias("input_files"), F.sum("file_bytes").alias("input_bytes")
     ).first()
 
-    with staged_events(spark, paths) as bronze:
-        audit = silver_audit(parse_events(bronze)).first().asDict()
-        silver = write_silver(silver_events(bronze), silver_path)
+    with staged_events(spark, paths, parse_events) as parsed:
+        audit = silver_audit(parsed).first().asDict()
+        silver = write_silver(silver_of_parsed(parsed), silver_path)
     silver_rows = silver.count()
     gold = write_gold(silver, gold_path)
 

@@ -17,14 +17,13 @@ from clickloom.sources.lake import guard_raw, write_summary, write_table
 
 
 def profile_tables(
-    bronze: DataFrame, output: str, sizes: DataFrame | None = None
+    parsed: DataFrame, output: str, sizes: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Write the profile of bronze rows below ``output`` and return its tables.
+    """Write the profile of parsed events below ``output`` and return its tables.
 
     Each pass over the rows ends in a small written table; what can be rolled up from it is,
     so that no other pass is needed.
     """
-    parsed = parse_events(bronze)
     tables: dict[str, DataFrame] = {}
 
     def keep(name: str, table: DataFrame) -> DataFrame:
@@ -56,7 +55,7 @@ def profile_tables(
     keep("funnel_by_hour", funnel.funnel_by_hour(grid))
     keep("funnel_by_weekday", funnel.funnel_by_weekday(grid))
 
-    keep("duplicates", duplicate_summary(bronze))
+    keep("duplicates", duplicate_summary(parsed))
 
     amounts = prices.valid_prices(parsed)
     sketches = keep("price_sketches", prices.price_sketches(parsed, "source_file"))
@@ -153,8 +152,8 @@ def profile(spark: SparkSession, paths: Sequence[str], output: str) -> dict:
     guard_raw(output)
     check_inputs(spark, paths)
     sizes = input_files(spark, paths)
-    with staged_events(spark, paths) as bronze:
-        tables = profile_tables(bronze, output, sizes)
+    with staged_events(spark, paths, parse_events) as parsed:
+        tables = profile_tables(parsed, output, sizes)
     document = {
         "generated_at_utc": datetime.now(timezone.utc).isoformat(),
         "engine": {"name": "PySpark", "version": spark.version},

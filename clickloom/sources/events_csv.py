@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,13 +55,19 @@ def exact_session(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def staged_events(spark: SparkSession, paths: Sequence[str]) -> Iterator[DataFrame]:
-    """All rows of the files, parsed once into the shared folder. A file with another header,
-    whichever of them it is, ends the job. The table is emptied at the end."""
+def staged_events(
+    spark: SparkSession,
+    paths: Sequence[str],
+    columns: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> Iterator[DataFrame]:
+    """All rows of the files, read once into the shared folder. A file with another header,
+    whichever of them it is, ends the job. What ``columns`` makes of the rows is stored, so that
+    columns it adds are worked out once however many steps read them. The table is emptied at the
+    end."""
     path = shared_folder(spark, "bronze")
-    parsed = read_events(exact_session(spark), paths)
-    parsed.write.parquet(path)
-    rows = spark.read.schema(parsed.schema).parquet(path)
+    staged = columns(read_events(exact_session(spark), paths))
+    staged.write.parquet(path)
+    rows = spark.read.schema(staged.schema).parquet(path)
     try:
         yield rows
     finally:

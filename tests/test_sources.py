@@ -2,7 +2,7 @@ import pytest
 
 from clickloom.operators.parse import parse_events
 from clickloom.operators.quality import quality
-from clickloom.schema import CORRUPT, RAW_COLUMNS
+from clickloom.schema import BRONZE_COLUMNS, CORRUPT, RAW_COLUMNS
 from clickloom.session import shared_folder
 from clickloom.sources import events_csv, lake
 from clickloom.sources.events_csv import check_inputs, input_files, read_events, staged_events
@@ -84,6 +84,13 @@ def test_the_callers_session_stays_as_it_is(spark, csv_file, monkeypatch):
     assert seen == ["true", spark.conf.get("spark.sql.shuffle.partitions"), "false", 1]
 
 
+def test_staged_events_keep_added_columns(spark, csv_file):
+    with staged_events(spark, [csv_file("m.csv", [GOOD])], parse_events) as rows:
+        plan = rows.agg({"ts": "max", "amount": "max"})._jdf.queryExecution().executedPlan().toString()
+        assert rows.collect() == parse_events(rows.select(*BRONZE_COLUMNS)).collect()
+    assert "ReadSchema: struct<ts:timestamp,amount:double>" in plan and "event_time" not in plan
+
+
 def test_staged_events_are_freed(spark, csv_file):
     with staged_events(spark, [csv_file("m.csv", [GOOD])]) as rows:
         path = rows.inputFiles()[0].rsplit("/", 1)[0]
