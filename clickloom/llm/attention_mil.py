@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.llm.common import map_rows, slices
 
 PASSAGE_WORDS = 64
-# The model is fitted on a bounded sample: so many labelled documents at most, and of each so many
-# passages, spread evenly over the text. Scoring takes all passages.
+# The model is fitted on a bounded sample of so many labelled documents at most. Their whole texts
+# count: of a text with more than so many passages, neighbouring ones are averaged for the fit.
 FIT_DOCUMENTS, FIT_PASSAGES = 3000, 48
 HIDDEN, GATES, STEPS, RATE, DECAY, SEED = 16, 8, 300, 0.02, 1e-3, 7
 
@@ -113,6 +113,16 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return vectors, bags
 
 
+def spans(vectors: np.ndarray, most: int) -> np.ndarray:
+    """The passages of one text, or means over ``most`` stretches of them that leave none out."""
+    total = len(vectors)
+    if total <= most:
+        return vectors
+    starts = np.arange(most) * total // most
+    sums = np.add.reduceat(vectors, starts, dtype=np.float64)
+    return (sums / np.diff(starts, append=total)[:, None]).astype(vectors.dtype)
+
+
 @dataclass(frozen=True)
 class AttentionModel:
     """Weights of the network; without a fit (no labels of both kinds) a constant score."""
@@ -223,8 +233,7 @@ def train(
             vectors, sizes = passages(batch.column(0).to_pylist())
             found, start = [], 0
             for size in sizes.tolist():
-                picked = np.unique(np.linspace(0, size - 1, min(size, FIT_PASSAGES)).astype(int))
-                found.append(vectors[start + picked].tobytes())
+                found.append(spans(vectors[start : start + size], FIT_PASSAGES).tobytes())
                 start += size
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), batch.column(1), pa.array(found, pa.binary())],

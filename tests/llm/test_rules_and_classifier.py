@@ -120,6 +120,35 @@ def test_words_and_pairs_count_in_vectors():
     assert np.allclose(mil.passages(["AA bb CC dd"])[0][0][measures:], plain[measures:])
 
 
+@pytest.mark.parametrize("total", [1, 2, 5, 47, 48, 49, 313, 5000])
+def test_spans_leave_no_passage_out(total):
+    vectors = np.random.default_rng(total).normal(size=(total, 3)).astype(np.float32)
+    for most in (1, 4, 48):
+        found = mil.spans(vectors, most)
+        assert len(found) == min(total, most) and found.dtype == vectors.dtype
+        bounds = [i * total // len(found) for i in range(len(found) + 1)]
+        wanted = [vectors[a:b].mean(axis=0) for a, b in zip(bounds, bounds[1:])]
+        assert np.allclose(found, wanted, atol=1e-5)
+
+
+def test_the_fit_sees_the_whole_of_long_texts(spark):
+    """What tells good from bad is in one passage of 400, at a place that an even choice of 48 leaves out."""
+    draw = random.Random(3)
+    rows = []
+    for number in range(240):
+        passages = ["lamp stone cloud paper " * (mil.PASSAGE_WORDS // 4)] * 400
+        at = draw.choice([3, 104, 250, 398])
+        passages[at] = ("#*$ 77|88 " if number % 2 else "Garden River ") * (mil.PASSAGE_WORDS // 2)
+        rows.append((number, " ".join(passages)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(number, (number + 1) % 2) for number, _ in rows], "doc_id long, quality int"
+    )
+    model = mil.train(docs, labels)
+    found = mil.score_documents(docs, model).collect()
+    assert all((row["score"] >= 0.5) == (row["doc_id"] % 2 == 0) for row in found)
+
+
 def test_held_out_accuracy(spark, small):
     folder = small.replace("sf0.001", "sf0.01")
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
