@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.llm import attention_mil as mil, repetition
 from clickloom.llm.common import table
@@ -120,6 +121,38 @@ def test_words_and_pairs_count_in_vectors():
     assert np.allclose(mil.passages(["AA bb CC dd"])[0][0][measures:], plain[measures:])
 
 
+def test_fold_loss_scores_each_bag_by_a_fit_without_it(monkeypatch):
+    vectors, bags = mil.passages([f"text {n} " * (20 * n) for n in range(1, 9)])
+    labels = np.array([0, 1] * 4, float)
+    seen = []
+
+    def fit(vectors, bags, labels, scale):
+        seen.append((len(vectors), bags.tolist(), labels.tolist(), scale))
+        return mil.AttentionModel(0.75)
+
+    monkeypatch.setattr(mil, "fit", fit)
+    assert mil.fold_loss(vectors, bags, labels, 0.3) == pytest.approx(
+        -(np.log(0.75) + np.log(0.25)) / 2
+    )
+    for fold, (n, sizes, marks, scale) in enumerate(seen):
+        kept = [i for i in range(8) if i % 3 != fold]
+        assert sizes == bags[kept].tolist() and n == sum(sizes) and scale == 0.3
+        assert marks == labels[kept].tolist()
+
+
+def test_fit_rows_hold_no_held_out_label(spark, small):
+    docs, labels = table(spark, small, "documents"), table(spark, small, "labels")
+    turned = labels.withColumn(
+        "quality",
+        F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, 1 - F.col("quality")).otherwise(
+            F.col("quality")
+        ),
+    )
+    for one, other in zip(mil.fit_rows(docs, labels), mil.fit_rows(docs, turned), strict=True):
+        assert len(one) and (one == other).all()
+    assert [len(part) for part in mil.fit_rows(docs, labels.limit(0))] == [0, 0, 0]
+
+
 @pytest.mark.parametrize("total", [1, 2, 5, 47, 48, 49, 313, 5000])
 def test_spans_leave_no_passage_out(total):
     vectors = np.random.default_rng(total).normal(size=(total, 3)).astype(np.float32)
