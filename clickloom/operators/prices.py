@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions import is_finite, rate
@@ -113,30 +116,36 @@ def counted_quantiles(counts: DataFrame, bins: int | None = None) -> DataFrame:
         F.coalesce("cuts", F.array().cast("array<double>")), lambda cut: cut < F.col("amount")
     )
     counts = counts.withColumn("cuts", cuts).select("amount", "n", F.size(below).alias("bin"))
-    # At most `bins` rows, whatever the input.
+    # At most `bins` rows, whatever the input, and of them those that hold a wanted rank.
+    ranks = {
+        name: F.greatest(F.ceil(F.lit(p) * F.col("total")), F.lit(1))
+        for name, p in QUARTILES.items()
+    }
+    upto = F.sum("in_bin").over(Window.orderBy("bin"))
     starts = (
         counts.groupBy("bin")
         .agg(F.sum("n").alias("in_bin"))
         .select(
             "bin",
-            (F.sum("in_bin").over(Window.orderBy("bin")) - F.col("in_bin")).alias("before"),
+            (upto - F.col("in_bin")).alias("before"),
+            upto.alias("upto"),
             F.sum("in_bin").over(Window.partitionBy(F.lit(0))).alias("total"),
         )
+        .where(
+            reduce(or_, [(F.col("before") < rank) & (rank <= F.col("upto")) for rank in ranks.values()])
+        )
+        .drop("upto")
     )
+    # Prices of other ranges are left out before they are shuffled.
     ranked = counts.join(F.broadcast(starts), "bin").withColumn(
         "last_rank",
         F.col("before") + F.sum("n").over(Window.partitionBy("bin").orderBy("amount")),
     )
     return ranked.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("valid_numeric_count"),
+        F.coalesce(F.max("total"), F.lit(0)).alias("valid_numeric_count"),
         *[
-            F.min(
-                F.when(
-                    F.col("last_rank") >= F.greatest(F.ceil(F.lit(p) * F.col("total")), F.lit(1)),
-                    F.col("amount"),
-                )
-            ).alias(name)
-            for name, p in QUARTILES.items()
+            F.min(F.when(F.col("last_rank") >= rank, F.col("amount"))).alias(name)
+            for name, rank in ranks.items()
         ],
     )
 
@@ -176,9 +185,7 @@ def exact_price_summary(prices: DataFrame) -> DataFrame:
             "iqr_outlier_candidate_count"
         )
     )
-    return outliers.select(
-        *[row[name].alias(name) for name in fences.columns], "iqr_outlier_candidate_count"
-    )
+    return outliers.select(F.inline(F.array(row)), "iqr_outlier_candidate_count")
 
 
 def price_summary(prices: DataFrame, quantiles: DataFrame) -> DataFrame:
@@ -186,6 +193,4 @@ def price_summary(prices: DataFrame, quantiles: DataFrame) -> DataFrame:
     fences = with_fences(quantiles)
     row = _as_value(fences)
     outliers = prices.agg(F.count_if(_outside(row)).alias("iqr_outlier_candidate_count"))
-    return outliers.select(
-        *[row[name].alias(name) for name in fences.columns], "iqr_outlier_candidate_count"
-    )
+    return outliers.select(F.inline(F.array(row)), "iqr_outlier_candidate_count")
