@@ -215,8 +215,8 @@ def _slopes(
 def fold_loss(
     vectors: np.ndarray, bags: np.ndarray, labels: np.ndarray, hashed_scale: float, folds: int = 3
 ) -> float:
-    """Mean log loss of all bags, each scored by a fit on the folds that it is not in. Settings are
-    chosen by this on the rows of ``fit_rows``, so no held-out label has a part in them."""
+    """Mean log loss of all bags, each scored by a fit on the folds that it is not in. On the rows of
+    ``fit_rows`` it compares settings without a held-out label."""
     fold, owner = np.arange(len(bags)) % folds, np.repeat(np.arange(len(bags)), bags)
     loss = 0.0
     for one in range(folds):
