@@ -657,17 +657,23 @@ FILE_NAMES = {"part-a.csv": "part a+1.csv", "part-b.csv": "part 50%.csv"}
 @contextmanager
 def named_csv_files(rows: DataFrame) -> Iterator[tuple[str, str]]:
     """A folder of two event files with the names above, and the path of an empty file beside it.
-    At the end the files are overwritten by empty ones."""
+    At the end the files are overwritten by empty ones.
+
+    A file of one name has one writer. What makes the rows is done before, by many tasks, and the
+    writer only passes stored rows on."""
     spark = rows.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path
     folder = shared_folder(spark, "named")
     files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
-    for source, name in FILE_NAMES.items():
-        part = rows.where(F.col("source_file") == source).coalesce(1)
-        with csv_files(part) as written:
-            found = [f.getPath() for f in files.listStatus(path(written))]
-            files.rename(*(f for f in found if f.getName().startswith("part-")), path(folder, name))
+    with staged(rows, "rows") as made:
+        for source, name in FILE_NAMES.items():
+            part = made.where(F.col("source_file") == source).coalesce(1)
+            with csv_files(part) as written:
+                found = [f.getPath() for f in files.listStatus(path(written))]
+                files.rename(
+                    *(f for f in found if f.getName().startswith("part-")), path(folder, name)
+                )
     nothing = path(f"{folder}-empty", "none.csv")
     files.create(nothing).close()
     try:
