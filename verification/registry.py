@@ -655,32 +655,34 @@ FILE_NAMES = {"part-a.csv": "part a+1.csv", "part-b.csv": "part 50%.csv"}
 
 
 @contextmanager
-def named_csv_files(rows: DataFrame) -> Iterator[tuple[str, str]]:
-    """A folder of two event files with the names above, and the path of an empty file beside it.
-    At the end the files are overwritten by empty ones.
+def named_csv_files(rows: DataFrame, times: int = 1) -> Iterator[tuple[str, ...]]:
+    """So many folders, each of two event files with the names above, and the path of an empty file
+    beside the first. At the end the files are overwritten by empty ones.
 
     A file of one name has one writer. What makes the rows is done before, by many tasks, and the
     writer only passes stored rows on."""
     spark = rows.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path
-    folder = shared_folder(spark, "named")
-    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(path(folder))
+    folders = [shared_folder(spark, "named") for _ in range(times)]
+    files = path(folders[0]).getFileSystem(spark._jsc.hadoopConfiguration())
     with staged(rows, "rows") as made:
-        for source, name in FILE_NAMES.items():
-            part = made.where(F.col("source_file") == source).coalesce(1)
-            with csv_files(part) as written:
-                found = [f.getPath() for f in files.listStatus(path(written))]
-                files.rename(
-                    *(f for f in found if f.getName().startswith("part-")), path(folder, name)
-                )
-    nothing = path(f"{folder}-empty", "none.csv")
+        for folder in folders:
+            files.mkdirs(path(folder))
+            for source, name in FILE_NAMES.items():
+                part = made.where(F.col("source_file") == source).coalesce(1)
+                with csv_files(part) as written:
+                    found = [f.getPath() for f in files.listStatus(path(written))]
+                    files.rename(
+                        *(f for f in found if f.getName().startswith("part-")), path(folder, name)
+                    )
+    nothing = path(f"{folders[0]}-empty", "none.csv")
     files.create(nothing).close()
     try:
-        yield folder, nothing.toString()
+        yield *folders, nothing.toString()
     finally:
-        for name in FILE_NAMES.values():
-            files.create(path(folder, name), True).close()
+        for folder in folders:
+            for name in FILE_NAMES.values():
+                files.create(path(folder, name), True).close()
 
 
 def _kept_table(table: DataFrame) -> DataFrame:
@@ -707,14 +709,13 @@ def _refused(spark: SparkSession, *paths: str) -> bool:
 def source_names(spark, sf):
     """Rows by the file they come from, and whether an empty file beside them, and a file given
     with another of its name, are refused."""
-    with named_csv_files(clicks_raw(spark, sf)) as (folder, empty):
-        with named_csv_files(clicks_raw(spark, sf)) as (again, _):
-            cases = {
-                "accepted": not _refused(spark, folder),
-                "empty_refused": _refused(spark, folder, empty),
-                "equal_names_refused": _refused(spark, folder, again),
-                "nothing_refused": _refused(spark),
-            }
+    with named_csv_files(clicks_raw(spark, sf), 2) as (folder, again, empty):
+        cases = {
+            "accepted": not _refused(spark, folder),
+            "empty_refused": _refused(spark, folder, empty),
+            "equal_names_refused": _refused(spark, folder, again),
+            "nothing_refused": _refused(spark),
+        }
         rows = read_events(spark, [folder]).groupBy("source_file").agg(
             F.count(F.lit(1)).alias("record_count")
         )
