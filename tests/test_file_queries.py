@@ -24,7 +24,7 @@ def test_the_one_writer_of_a_file_makes_no_rows(spark, monkeypatch):
         assert "Join" not in plan and "Generate" not in plan
 
 
-@pytest.mark.parametrize("name", ["file_sizes", "source_names", "file_inventory"])
+@pytest.mark.parametrize("name", ["file_sizes", "source_names", "file_inventory", "header_contract"])
 def test_rows_are_made_once(spark, monkeypatch, name):
     made = spark.sparkContext.accumulator(0)
 

@@ -876,7 +876,6 @@ def profile_overview(spark, sf):
 def header_contract(spark, sf):
     """Whether files of all rows are accepted with the right header, and with one file's header
     in upper case, with two names swapped, and with a name missing."""
-    lines = clicks_raw(spark, sf).select(*RAW_COLUMNS)
     swapped = [*RAW_COLUMNS[:4], RAW_COLUMNS[5], RAW_COLUMNS[4], *RAW_COLUMNS[6:]]
     cases = {
         "exact": RAW_COLUMNS,
@@ -885,25 +884,28 @@ def header_contract(spark, sf):
         "missing": RAW_COLUMNS[:-1],
     }
     found = []
-    for name, header in cases.items():
-        folder = shared_folder(spark, "header")
-        for part, columns in (("a", RAW_COLUMNS), ("b", header)):
-            half = lines.where(F.pmod(F.xxhash64("event_time"), F.lit(2)) == int(part == "b"))
-            half.toDF(*[f"c{i}" for i in range(9)]).select(
-                *[F.col(f"c{i}").alias(column) for i, column in enumerate(columns)]
-            ).write.option("header", True).csv(f"{folder}/{part}")
-        accepted = True
-        try:
-            with staged_events(spark, [f"{folder}/a", f"{folder}/b"]) as rows:
-                accepted = rows.count() == lines.count()
-        except (Py4JJavaError, PySparkException) as refused:
-            # The reader's own complaint, which the failed write wraps.
-            if "CSV header does not conform to the schema" not in str(refused) and (
-                "Number of column in CSV header" not in str(refused)
-            ):
-                raise
-            accepted = False
-        found.append((name, accepted))
+    # The rows are made once for all files.
+    with staged(clicks_raw(spark, sf).select(*RAW_COLUMNS), "lines") as lines:
+        total = lines.count()
+        for name, header in cases.items():
+            folder = shared_folder(spark, "header")
+            for part, columns in (("a", RAW_COLUMNS), ("b", header)):
+                half = lines.where(F.pmod(F.xxhash64("event_time"), F.lit(2)) == int(part == "b"))
+                half.toDF(*[f"c{i}" for i in range(9)]).select(
+                    *[F.col(f"c{i}").alias(column) for i, column in enumerate(columns)]
+                ).write.option("header", True).csv(f"{folder}/{part}")
+            accepted = True
+            try:
+                with staged_events(spark, [f"{folder}/a", f"{folder}/b"]) as rows:
+                    accepted = rows.count() == total
+            except (Py4JJavaError, PySparkException) as refused:
+                # The reader's own complaint, which the failed write wraps.
+                if "CSV header does not conform to the schema" not in str(refused) and (
+                    "Number of column in CSV header" not in str(refused)
+                ):
+                    raise
+                accepted = False
+            found.append((name, accepted))
     return spark.createDataFrame(found, "header_case string, accepted boolean")
 
 
