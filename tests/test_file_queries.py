@@ -8,6 +8,7 @@ from verification import registry
 from verification.clicks import clicks_raw
 
 SF = "/root/testdata/sf0.001"
+QUERIES = ("file_sizes", "source_names", "file_inventory", "header_contract", "profile_overview")
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
 
 
@@ -24,7 +25,7 @@ def test_the_one_writer_of_a_file_makes_no_rows(spark, monkeypatch):
         assert "Join" not in plan and "Generate" not in plan
 
 
-@pytest.mark.parametrize("name", ["file_sizes", "source_names", "file_inventory", "header_contract"])
+@pytest.mark.parametrize("name", QUERIES)
 def test_rows_are_made_once(spark, monkeypatch, name):
     made = spark.sparkContext.accumulator(0)
 
