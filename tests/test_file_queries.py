@@ -9,7 +9,7 @@ from verification.clicks import clicks_raw
 
 SF = "/root/testdata/sf0.001"
 QUERIES = ("file_sizes", "source_names", "file_inventory", "header_contract", "profile_overview",
-           "medallion_audit")
+           "medallion_audit", "model_document")
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
 
 
